@@ -6,6 +6,7 @@ from importlib import import_module
 
 GROUPS = (
     "catalogue",
+    "collaborative",
 )
 
 QUERIES: dict = {}
