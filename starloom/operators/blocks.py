@@ -34,8 +34,10 @@ PAIR_CHUNK = 4_000_000
 DENSE_RATIO = 50
 DENSE_ROWS = 512
 
-CELLS, EXCLUDED, REQUESTS = 0, 1, 2
-ROW = "p int, q int, slice int, kind int, l_ids array<bigint>, l_vals array<double>, r_ids array<bigint>, r_vals array<double>"
+MAX_TASKS = 20_000
+
+# kinds of task rows; requests of the mirrored direction swap left and right
+CELLS, EXCLUDED, REQUESTS, MIRRORED = 0, 1, 2, 3
 
 
 @dataclass
@@ -105,17 +107,28 @@ def _is_hot(left: Layout, right: Layout) -> Column:
     return (F.col("p") >= left.blocks) | (F.col("q") >= right.blocks)
 
 
-def _cell_rows(left: DataFrame, right: DataFrame, ll: Layout, rl: Layout) -> DataFrame:
+def _cell_rows(left: DataFrame, right: DataFrame, ll: Layout, rl: Layout, mirror: bool) -> DataFrame:
     lhs = _pack(left, ll, ["dim"], "p", "l")
     rhs = _pack(right, rl, ["dim"], "q", "r")
-    rows = lhs.join(rhs, "dim").withColumn("slice", _slice(ll, rl, F.col("dim"))).withColumn("kind", F.lit(CELLS))
+    rows = lhs.join(rhs, "dim")
+    if mirror:
+        rows = rows.where("p <= q")
+    rows = rows.withColumn("slice", _slice(ll, rl, F.col("dim"))).withColumn("kind", F.lit(CELLS))
     return rows.select("p", "q", "slice", "kind", "l_ids", "l_vals", "r_ids", "r_vals")
 
 
-def _run(rows: DataFrame, kernel, schema: str, ll: Layout, rl: Layout) -> DataFrame:
-    tasks = ll.blocks * rl.blocks + (ll.total * rl.total - ll.blocks * rl.blocks) * max(ll.slices, rl.slices)
-    key = ["p", "q", "slice"]
-    return rows.repartition(tasks, *key).sortWithinPartitions(*key, "kind").mapInArrow(kernel, schema)
+def _run(rows: DataFrame, kernel, schema: str, ll: Layout, rl: Layout, mirror: bool) -> DataFrame:
+    """One partition per block pair and slice, rows in kernel order."""
+    p, q = F.col("p"), F.col("q")
+    if mirror:
+        pair, pairs = q * (q + 1) / 2 + p, ll.total * (ll.total + 1) // 2
+    else:
+        pair, pairs = p * rl.total + q, ll.total * rl.total
+    slices = max(ll.slices, rl.slices)
+    place = (pair * slices + F.col("slice")).cast("int")
+    tasks = min(pairs * slices, MAX_TASKS)
+    placed = rows.repartitionById(tasks, F.pmod(place, F.lit(tasks)))
+    return placed.sortWithinPartitions("p", "q", "slice", "kind").mapInArrow(kernel, schema)
 
 
 def nearest(
@@ -130,14 +143,17 @@ def nearest(
     """``(id, other, score[, rank])``: the best right vectors for each left vector.
 
     Without ``right`` the left vectors are compared with each other and an id
-    is never its own neighbour. ``min_score`` is exclusive. ``exclude`` lists
-    ``(id, other)`` pairs to leave out. Ties go to the smaller id. Pairs that
-    share no dimension score 0 and count only if ``min_score`` is below 0.
+    is never its own neighbour. ``min_score`` (0 if not given) is exclusive.
+    ``exclude`` lists ``(id, other)`` pairs to leave out. Ties go to the
+    smaller id. Below a ``min_score`` of 0 every pair must share a dimension,
+    as dense features do.
     """
     same = right is None
+    # without exclusions one product serves both directions of a block pair
+    mirror = same and exclude is None
     ll = plan_layout(left, hot_rows, block_ids)
     rl = ll if same else plan_layout(right, hot_rows, block_ids)
-    rows = _cell_rows(left, left if same else right, ll, rl)
+    rows = _cell_rows(left, left if same else right, ll, rl, mirror)
     if exclude is not None:
         pairs = rl.assign(ll.assign(exclude.select("id", "other"), "id", "p"), "other", "q")
         empty = F.array().cast("array<double>")
@@ -149,9 +165,9 @@ def nearest(
     floor = 0.0 if min_score is None else min_score
 
     def kernel(batches):
-        return _top_kernel(batches, same, k, floor, ll.blocks, rl.blocks)
+        return _top_kernel(batches, same, mirror, k, floor, ll.blocks, rl.blocks)
 
-    found = _run(rows, kernel, "id bigint, other bigint, score double, partial boolean", ll, rl)
+    found = _run(rows, kernel, "id bigint, other bigint, score double, partial boolean", ll, rl, mirror)
     if ll.hot is None and rl.hot is None:
         found = found.drop("partial")
     else:
@@ -180,7 +196,7 @@ def weighted_scores(
     the block tasks. Hot slices need non-negative vectors, as ratings are.
     """
     layout = plan_layout(vectors, hot_rows, block_ids)
-    rows = _cell_rows(vectors, vectors, layout, layout)
+    rows = _cell_rows(vectors, vectors, layout, layout, True)
     wanted = targets.select("user_id", F.col("item_id").alias("id"), F.lit(0.0).alias("val"))
     rated = history.select("user_id", F.col("item_id").alias("id"), F.col("rating").alias("val"))
     lhs = _pack(wanted, layout, ["user_id"], "p", "l")
@@ -188,13 +204,14 @@ def weighted_scores(
     requests = lhs.join(rhs, "user_id")
     slices = F.when(_is_hot(layout, layout), F.lit(layout.slices)).otherwise(1)
     requests = requests.select(
-        "p", "q", F.explode(F.sequence(F.lit(0), slices - 1)).alias("slice"), F.lit(REQUESTS).alias("kind"),
+        F.least("p", "q").alias("p"), F.greatest("p", "q").alias("q"),
+        F.explode(F.sequence(F.lit(0), slices - 1)).alias("slice"),
+        F.when(F.col("p") <= F.col("q"), REQUESTS).otherwise(MIRRORED).alias("kind"),
         # the user id leads the list of wanted ids
         F.concat(F.array("user_id"), "l_ids").alias("l_ids"), "l_vals", "r_ids", "r_vals",
     )
-    parts = _run(
-        rows.unionByName(requests), _score_kernel, "user_id bigint, item_id bigint, num double, den double", layout, layout
-    )
+    schema = "user_id bigint, item_id bigint, num double, den double"
+    parts = _run(rows.unionByName(requests), _score_kernel, schema, layout, layout, True)
     return parts.groupBy("user_id", "item_id").agg(F.sum("num").alias("num"), F.sum("den").alias("den"))
 
 
@@ -216,7 +233,7 @@ class _Product:
     def _grow(self):
         rows, cols = self.acc.shape
         if len(self.left) > rows or len(self.right) > cols:
-            wider = np.zeros((max(rows, 2 * len(self.left)), max(cols, 2 * len(self.right))))
+            wider = np.zeros((max(rows, len(self.left) * 5 // 4 + 64), max(cols, len(self.right) * 5 // 4 + 64)))
             wider[:rows, :cols] = self.acc
             self.acc = wider
 
@@ -297,12 +314,29 @@ def _runs(batches):
             yield (int(p[a]), int(q[a]), int(s[a])), int(kind[a]), parts
 
 
-def _top_kernel(batches, same, k, floor, l_blocks, r_blocks):
+def _top_kernel(batches, same, mirror, k, floor, l_blocks, r_blocks):
     key, block = None, None
 
     def flush():
-        hot = key[0] >= l_blocks or key[1] >= r_blocks
-        return _emit_partial(block, same) if hot else _emit_top(block, same, k, floor)
+        if same:
+            hot = key[0] >= l_blocks or key[1] >= l_blocks
+        else:
+            hot = key[0] >= l_blocks or key[1] >= r_blocks
+        for left, others in block.excluded:
+            row = block.left.get(left)
+            cols = [block.right[o] for o in others.tolist() if o in block.right]
+            if row is not None and cols:
+                block.acc[row, cols] = 0.0 if hot else -np.inf
+        if same:
+            block.drop_self(0.0 if hot else -np.inf)
+        left, right = block.ids()
+        sides = [(left, right, block.scores())]
+        if mirror and key[0] != key[1]:
+            sides.append((right, left, block.scores().T))
+        for side in sides:
+            if not side[2].size:
+                continue
+            yield _partial_sums(*side) if hot else _best(*side, k, floor)
 
     for run_key, kind, (l, l_vals, r, r_vals) in _runs(batches):
         if run_key != key:
@@ -320,45 +354,32 @@ def _top_kernel(batches, same, k, floor, l_blocks, r_blocks):
 
 def _batch(ids, others, scores, partial):
     flags = np.full(len(ids), partial)
-    yield pa.RecordBatch.from_arrays(
+    return pa.RecordBatch.from_arrays(
         [pa.array(ids), pa.array(others), pa.array(scores), pa.array(flags)], ["id", "other", "score", "partial"]
     )
 
 
-def _emit_partial(block, same):
-    if same:
-        block.drop_self(0.0)
-    left, right = block.ids()
-    rows, cols = np.nonzero(block.scores())
-    yield from _batch(left[rows], right[cols], block.scores()[rows, cols], True)
-
-
-def _emit_top(block, same, k, floor):
-    for left, others in block.excluded:
-        row = block.left.get(left)
-        cols = [block.right[o] for o in others.tolist() if o in block.right]
-        if row is not None and cols:
-            block.acc[row, cols] = -np.inf
-    if same:
-        block.drop_self(-np.inf)
-    left, right = block.ids()
-    scores = block.scores()
-    if not scores.size:
-        return
+def _partial_sums(left, right, scores):
+    rows, cols = np.nonzero(scores)
+    return _batch(left[rows], right[cols], scores[rows, cols], True)
+
+
+def _best(left, right, scores, k, floor):
+    """Cells above ``floor``; with ``k`` the first k of each row, ties by id."""
     keep = scores > floor
-    if k is not None and scores.shape[1] > k:
+    if k is not None and keep.sum() > 8 * k * len(left):
+        # many candidates: cut at the k-th best of each row before sorting
         rounded = np.round(scores, 9)
-        kth = -np.partition(-rounded, k - 1, axis=1)[:, k - 1]
-        keep &= rounded >= kth[:, None]
+        keep &= rounded >= -np.partition(-rounded, k - 1, axis=1)[:, k - 1 : k]
     rows, cols = np.nonzero(keep)
+    values = scores[rows, cols]
     if k is not None and len(rows):
-        # ties at the cut: order by row, score, id and keep the first k of a row
-        order = np.lexsort((right[cols], -np.round(scores[rows, cols], 9), rows))
-        rows, cols = rows[order], cols[order]
-        first = np.searchsorted(rows, rows, side="left")
-        best = np.arange(len(rows)) - first < k
-        rows, cols = rows[best], cols[best]
-    yield from _batch(left[rows], right[cols], scores[rows, cols], False)
+        # rows come in order, so a run of equal rows is one left id
+        order = np.lexsort((right[cols], -np.round(values, 9), rows))
+        rows, cols, values = rows[order], cols[order], values[order]
+        best = np.arange(len(rows)) - np.searchsorted(rows, rows, side="left") < k
+        rows, cols, values = rows[best], cols[best], values[best]
+    return _batch(left[rows], right[cols], values, False)
 
 
 def _score_kernel(batches):
@@ -372,16 +393,19 @@ def _score_kernel(batches):
         if not ready:
             block.drop_self(0.0)
             ready = True
+        mine, theirs, scores = block.left, block.right, block.acc
+        if kind == MIRRORED:
+            mine, theirs, scores = theirs, mine, scores.T
         out = []
         for i in range(len(l[0]) - 1):
             user, *asked = l[1][l[0][i] : l[0][i + 1]].tolist()
-            wanted = [(t, block.left[t]) for t in asked if t in block.left]
+            wanted = [(t, mine[t]) for t in asked if t in mine]
             span = slice(r[0][i], r[0][i + 1])
-            known = [(block.right[j], v) for j, v in zip(r[1][span].tolist(), r_vals[1][span].tolist()) if j in block.right]
+            known = [(theirs[j], v) for j, v in zip(r[1][span].tolist(), r_vals[1][span].tolist()) if j in theirs]
             if not wanted or not known:
                 continue
             cols, values = map(np.array, zip(*known))
-            sims = block.acc[np.ix_([w[1] for w in wanted], cols)]
+            sims = scores[np.ix_([w[1] for w in wanted], cols)]
             num, den = sims @ values, np.abs(sims).sum(axis=1)
             for (item, _), n, d in zip(wanted, num.tolist(), den.tolist()):
                 if d > 0:

@@ -22,9 +22,13 @@ def user_item(ratings: DataFrame) -> DataFrame:
 
 
 def vectors(ratings: DataFrame, of: str) -> DataFrame:
-    """Unit rating vectors of items (over users) or of users (over items)."""
+    """Unit rating vectors of items (over users) or of users (over items).
+
+    Stored, because the block layout and both block sides read them.
+    """
     other = "user_id" if of == "item_id" else "item_id"
-    return blocks.unit(ratings.select(F.col(of).alias("id"), F.col(other).alias("dim"), F.col("rating").alias("val")))
+    cells = ratings.select(F.col(of).alias("id"), F.col(other).alias("dim"), F.col("rating").alias("val"))
+    return materialize(blocks.unit(cells), "vectors")
 
 
 def similar(ratings: DataFrame, of: str, min_score: float = 0.0, **options) -> DataFrame:

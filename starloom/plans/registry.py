@@ -7,6 +7,7 @@ from importlib import import_module
 GROUPS = (
     "catalogue",
     "collaborative",
+    "content",
 )
 
 QUERIES: dict = {}
