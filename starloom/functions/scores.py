@@ -11,6 +11,12 @@ def clip(x: Column, low: float = LOW, high: float = HIGH) -> Column:
     return F.least(F.lit(high), F.greatest(F.lit(low), x))
 
 
+def half_even(x: Column, digits: int) -> Column:
+    """Rounds the binary value half to even, as numerical libraries do."""
+    scale = float(10**digits)
+    return F.rint(x * scale) / scale
+
+
 def popularity(n: Column) -> Column:
     return F.log1p(n)
 

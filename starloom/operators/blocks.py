@@ -181,6 +181,24 @@ def nearest(
     return top_n(found, ["id"], k, F.round("score", 9).desc(), F.col("other").asc())
 
 
+def _request_rows(vectors: DataFrame, history: DataFrame, targets: DataFrame, layout: Layout) -> DataFrame:
+    """Task rows of the products, followed by what each user asks of a block pair."""
+    rows = _cell_rows(vectors, vectors, layout, layout, True)
+    wanted = targets.select("user_id", F.col("item_id").alias("id"), F.lit(0.0).alias("val"))
+    rated = history.select("user_id", F.col("item_id").alias("id"), F.col("rating").alias("val"))
+    lhs = _pack(wanted, layout, ["user_id"], "p", "l")
+    rhs = _pack(rated, layout, ["user_id"], "q", "r")
+    slices = F.when(_is_hot(layout, layout), F.lit(layout.slices)).otherwise(1)
+    requests = lhs.join(rhs, "user_id").select(
+        F.least("p", "q").alias("p"), F.greatest("p", "q").alias("q"),
+        F.explode(F.sequence(F.lit(0), slices - 1)).alias("slice"),
+        F.when(F.col("p") <= F.col("q"), REQUESTS).otherwise(MIRRORED).alias("kind"),
+        # the user id leads the list of wanted ids
+        F.concat(F.array("user_id"), "l_ids").alias("l_ids"), "l_vals", "r_ids", "r_vals",
+    )
+    return rows.unionByName(requests)
+
+
 def weighted_scores(
     vectors: DataFrame,
     history: DataFrame,
@@ -196,25 +214,38 @@ def weighted_scores(
     the block tasks. Hot slices need non-negative vectors, as ratings are.
     """
     layout = plan_layout(vectors, hot_rows, block_ids)
-    rows = _cell_rows(vectors, vectors, layout, layout, True)
-    wanted = targets.select("user_id", F.col("item_id").alias("id"), F.lit(0.0).alias("val"))
-    rated = history.select("user_id", F.col("item_id").alias("id"), F.col("rating").alias("val"))
-    lhs = _pack(wanted, layout, ["user_id"], "p", "l")
-    rhs = _pack(rated, layout, ["user_id"], "q", "r")
-    requests = lhs.join(rhs, "user_id")
-    slices = F.when(_is_hot(layout, layout), F.lit(layout.slices)).otherwise(1)
-    requests = requests.select(
-        F.least("p", "q").alias("p"), F.greatest("p", "q").alias("q"),
-        F.explode(F.sequence(F.lit(0), slices - 1)).alias("slice"),
-        F.when(F.col("p") <= F.col("q"), REQUESTS).otherwise(MIRRORED).alias("kind"),
-        # the user id leads the list of wanted ids
-        F.concat(F.array("user_id"), "l_ids").alias("l_ids"), "l_vals", "r_ids", "r_vals",
-    )
+    rows = _request_rows(vectors, history, targets, layout)
     schema = "user_id bigint, item_id bigint, num double, den double"
-    parts = _run(rows.unionByName(requests), _score_kernel, schema, layout, layout, True)
+    parts = _run(rows, _score_kernel, schema, layout, layout, True)
     return parts.groupBy("user_id", "item_id").agg(F.sum("num").alias("num"), F.sum("den").alias("den"))
 
 
+def supporters(
+    vectors: DataFrame,
+    history: DataFrame,
+    targets: DataFrame,
+    m: int,
+    min_score: float,
+    hot_rows: int = HOT_ROWS,
+    block_ids: int = BLOCK_IDS,
+) -> DataFrame:
+    """``(user_id, item_id, other, score, rank)``: the ``m`` rated items most similar to each target."""
+    layout = plan_layout(vectors, hot_rows, block_ids)
+    rows = _request_rows(vectors, history, targets, layout)
+
+    def kernel(batches):
+        return _support_kernel(batches, m, min_score, layout.blocks)
+
+    schema = "user_id bigint, item_id bigint, other bigint, score double, partial boolean"
+    found = _run(rows, kernel, schema, layout, layout, True)
+    if layout.hot is None:
+        found = found.drop("partial")
+    else:
+        sums = found.where("partial").groupBy("user_id", "item_id", "other").agg(F.sum("score").alias("score"))
+        found = found.where("NOT partial").drop("partial").unionByName(sums.where(F.col("score") > min_score))
+    return top_n(found, ["user_id", "item_id"], m, F.round("score", 9).desc(), F.col("other").asc())
+
+
 class _Product:
     """Running product of one left block and one right block."""
 
@@ -382,7 +413,8 @@ def _best(left, right, scores, k, floor):
     return _batch(left[rows], right[cols], values, False)
 
 
-def _score_kernel(batches):
+def _asked(batches):
+    """``(key, user, targets, rated ids, ratings, similarities)`` per request row."""
     key, block, ready = None, None, False
     for run_key, kind, (l, l_vals, r, r_vals) in _runs(batches):
         if run_key != key:
@@ -396,20 +428,46 @@ def _score_kernel(batches):
         mine, theirs, scores = block.left, block.right, block.acc
         if kind == MIRRORED:
             mine, theirs, scores = theirs, mine, scores.T
-        out = []
         for i in range(len(l[0]) - 1):
             user, *asked = l[1][l[0][i] : l[0][i + 1]].tolist()
-            wanted = [(t, mine[t]) for t in asked if t in mine]
+            targets = [t for t in asked if t in mine]
             span = slice(r[0][i], r[0][i + 1])
-            known = [(theirs[j], v) for j, v in zip(r[1][span].tolist(), r_vals[1][span].tolist()) if j in theirs]
-            if not wanted or not known:
-                continue
-            cols, values = map(np.array, zip(*known))
-            sims = scores[np.ix_([w[1] for w in wanted], cols)]
+            known = [(j, theirs[j], v) for j, v in zip(r[1][span].tolist(), r_vals[1][span].tolist()) if j in theirs]
+            if targets and known:
+                rated, cols, values = zip(*known)
+                sims = scores[np.ix_([mine[t] for t in targets], cols)]
+                yield key, user, targets, np.array(rated), np.array(values), sims
+
+
+def _chunks(rows, names, size=50_000):
+    """Record batches of at most about ``size`` result rows."""
+    out = []
+    for part in rows:
+        out.extend(part)
+        if len(out) >= size:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], names)
+            out = []
+    if out:
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], names)
+
+
+def _score_kernel(batches):
+    def rows():
+        for _, user, targets, _, values, sims in _asked(batches):
             num, den = sims @ values, np.abs(sims).sum(axis=1)
-            for (item, _), n, d in zip(wanted, num.tolist(), den.tolist()):
-                if d > 0:
-                    out.append((user, item, n, d))
-        if out:
-            columns = [pa.array(c) for c in zip(*out)]
-            yield pa.RecordBatch.from_arrays(columns, ["user_id", "item_id", "num", "den"])
+            yield [(user, t, n, d) for t, n, d in zip(targets, num.tolist(), den.tolist()) if d > 0]
+
+    yield from _chunks(rows(), ["user_id", "item_id", "num", "den"])
+
+
+def _support_kernel(batches, m, min_score, blocks):
+    def rows():
+        for key, user, targets, rated, _, sims in _asked(batches):
+            hot = key[0] >= blocks or key[1] >= blocks
+            for target, row in zip(targets, sims):
+                keep = np.flatnonzero((row != 0) & (rated != target) if hot else (row > min_score) & (rated != target))
+                if not hot:
+                    keep = keep[np.lexsort((rated[keep], -np.round(row[keep], 9)))[:m]]
+                yield [(user, target, int(rated[j]), float(row[j]), hot) for j in keep.tolist()]
+
+    yield from _chunks(rows(), ["user_id", "item_id", "other", "score", "partial"])

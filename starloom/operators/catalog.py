@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from starloom.functions import titles
-from starloom.functions.scores import temporal_weight, top_n
+from starloom.functions.scores import half_even, temporal_weight, top_n
 
 
 def year_range(items: DataFrame) -> Column:
@@ -90,7 +90,7 @@ def initial_selection(
 def fallback(ratings: DataFrame, items: DataFrame, min_avg: float = 4.0, min_count: int = 100, n: int = 50) -> DataFrame:
     """The best rated of the much-rated items."""
     stats = ratings.groupBy("item_id").agg(
-        F.bround(F.avg("rating"), 2).alias("avg_rating"), F.count("*").alias("rating_count")
+        half_even(F.avg("rating"), 2).alias("avg_rating"), F.count("*").alias("rating_count")
     )
     best = (
         stats.where((F.col("rating_count") >= min_count) & (F.col("avg_rating") >= min_avg))

@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from starloom.functions.scores import LOW, HIGH
+from starloom.functions.scores import HIGH, LOW, half_even
 
 
 def item_stats(ratings: DataFrame, digits: int = 3) -> DataFrame:
     """Count, mean, sample deviation and distinct users per item."""
     return ratings.groupBy("item_id").agg(
         F.count("*").alias("rating_count"),
-        F.bround(F.avg("rating"), digits).alias("avg_rating"),
-        F.bround(F.stddev_samp("rating"), digits).alias("rating_std"),
+        half_even(F.avg("rating"), digits).alias("avg_rating"),
+        half_even(F.stddev_samp("rating"), digits).alias("rating_std"),
         F.countDistinct("user_id").alias("unique_users"),
     )
 
@@ -24,10 +24,10 @@ def feature_stats(ratings: DataFrame) -> DataFrame:
     the rating scale bounds, so a hot item costs no more than a small one.
     """
     return ratings.groupBy("item_id").agg(
-        F.bround(F.avg("rating"), 3).alias("avg_rating"),
+        half_even(F.avg("rating"), 3).alias("avg_rating"),
         F.count("*").alias("num_ratings"),
-        F.coalesce(F.bround(F.stddev_samp("rating"), 3), F.lit(0.0)).alias("rating_std"),
-        F.bround(F.median("rating"), 3).alias("median_rating"),
+        F.coalesce(half_even(F.stddev_samp("rating"), 3), F.lit(0.0)).alias("rating_std"),
+        half_even(F.median("rating"), 3).alias("median_rating"),
         F.countDistinct("user_id").alias("num_users"),
     )
 
@@ -83,7 +83,7 @@ def activity(ratings: DataFrame, column: str) -> DataFrame:
 def serving_stats(items: DataFrame, ratings: DataFrame) -> DataFrame:
     """Mean and count shown with an item; 3.5 and 0 when nobody rated it."""
     stats = ratings.groupBy("item_id").agg(
-        F.bround(F.avg("rating"), 1).alias("average_rating"), F.count("*").alias("rating_count")
+        half_even(F.avg("rating"), 1).alias("average_rating"), F.count("*").alias("rating_count")
     )
     return items.join(stats, "item_id", "left").withColumns({
         "average_rating": F.coalesce("average_rating", F.lit(3.5)),

@@ -8,6 +8,8 @@ GROUPS = (
     "catalogue",
     "collaborative",
     "content",
+    "serving",
+    "sessions",
 )
 
 QUERIES: dict = {}

@@ -55,7 +55,12 @@ def items(spark: SparkSession, folder: str) -> DataFrame:
 
 def sessions(spark: SparkSession, folder: str) -> DataFrame:
     """One row per session event that carries an item and a rating."""
-    return table(spark, folder, "events").select(
+    return session_columns(table(spark, folder, "events"))
+
+
+def session_columns(events: DataFrame) -> DataFrame:
+    """Item and rating of raw events, in batch or in a stream."""
+    return events.select(
         "event_id",
         F.col("user_id").alias("session_id"),
         "ts",

@@ -50,8 +50,9 @@ def compare(spark, con, folder, name, query, oracle):
     if s_cols != d_cols:
         return f"COLUMNS {s_cols} != {d_cols}"
     if s_rows != d_rows:
-        only_s = [r for r in s_rows if r not in set(d_rows)][:3]
-        only_d = [r for r in d_rows if r not in set(s_rows)][:3]
+        s_set, d_set = set(s_rows), set(d_rows)
+        only_s = [r for r in s_rows if r not in d_set][:3]
+        only_d = [r for r in d_rows if r not in s_set][:3]
         return f"VALUES rows {len(s_rows)} vs {len(d_rows)}\n   cols {s_cols}\n   spark {only_s}\n   duck  {only_d}"
     return "" if s_rows else "EMPTY result"
 
