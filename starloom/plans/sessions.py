@@ -155,7 +155,7 @@ def _(spark, folder):
 
 
 @query("i11_expiry", """
-SELECT store, count_if(epoch_us(now) - epoch_us(ts) <= ttl * 1000000) AS live, count_if(epoch_us(now) - epoch_us(ts) > ttl * 1000000) AS expired
+SELECT store, count_if(epoch_us(now) - epoch_us(ts) <= ttl * 1000000::BIGINT) AS live, count_if(epoch_us(now) - epoch_us(ts) > ttl * 1000000::BIGINT) AS expired
 FROM (SELECT session_id, max(ts) AS ts FROM sessions GROUP BY session_id) CROSS JOIN (SELECT max(ts) AS now FROM sessions)
 CROSS JOIN (VALUES ('session_cache', 300), ('stored_items', 3600), ('day', 86400)) t(store, ttl) GROUP BY store
 """, "sessions")
@@ -206,9 +206,9 @@ def event_stream(spark, folder):
     return tables.session_columns(stream)
 
 
-def run_stateful(spark, folder, processor, schema, label):
+def run_stateful(spark, folder, processor, schema, label, time_mode="None"):
     out, state = scratch_path(spark, label), scratch_path(spark, f"{label}-state")
-    result = jobs.with_state(event_stream(spark, folder), processor, schema)
+    result = jobs.with_state(event_stream(spark, folder), processor, schema, time_mode)
     jobs.drain(jobs.store_updates(result, out, state))
     return spark.read.option("basePath", out).parquet(f"{out}/batch=*").drop("batch")
 
@@ -225,7 +225,7 @@ def _(spark, folder):
 
 @query("i11_live_session_stream", "SELECT session_id, count(*) AS events FROM sessions GROUP BY session_id", "sessions")
 def _(spark, folder):
-    return run_stateful(spark, folder, jobs.LiveSession(3600), "session_id bigint, events bigint", "live")
+    return run_stateful(spark, folder, jobs.LiveSession(3600), "session_id bigint, events bigint", "live", "ProcessingTime")
 
 
 @query("i15_running_item_stats", """

@@ -28,6 +28,8 @@ def read_events(spark: SparkSession, folder: str, name: str, schema: StructType,
 
 def drain(writer, timeout: int = 600) -> None:
     """Runs a stream over all data that is there and waits for it to end."""
+    # states that expire by the clock would ask for empty batches for ever
+    SparkSession.getActiveSession().conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
     query = writer.trigger(availableNow=True).start()
     if not query.awaitTermination(timeout):
         query.stop()
@@ -140,10 +142,13 @@ class LiveSession(StatefulProcessor):
         pass
 
 
-def with_state(events: DataFrame, processor: StatefulProcessor, schema: str, mode: str = "update") -> DataFrame:
-    """Applies a processor per session; the state lives in RocksDB."""
+def with_state(events: DataFrame, processor: StatefulProcessor, schema: str, time_mode: str = "None") -> DataFrame:
+    """Applies a processor per session; the state lives in RocksDB.
+
+    A state with a time to live needs ``time_mode="ProcessingTime"``.
+    """
     events.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     timed = events.withColumn("micros", F.unix_micros(F.col("ts").cast("timestamp"))).select("event_id", "session_id", "micros")
     return timed.groupBy("session_id").transformWithStateInPandas(
-        statefulProcessor=processor, outputStructType=schema, outputMode=mode, timeMode="ProcessingTime"
+        statefulProcessor=processor, outputStructType=schema, outputMode="update", timeMode=time_mode
     )
