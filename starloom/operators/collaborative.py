@@ -53,7 +53,7 @@ def _filled(targets: DataFrame, scored: DataFrame, default: Column) -> DataFrame
     return joined.withColumn("predicted", F.coalesce(clip(F.col("raw")), default)).drop("raw")
 
 
-def _reached_by_item(targets: DataFrame, near_items: DataFrame, train: DataFrame) -> DataFrame:
+def reached_by_item(targets: DataFrame, near_items: DataFrame, train: DataFrame) -> DataFrame:
     near = near_items.select(F.col("id").alias("item_id"), "other", "score")
     rated = train.select("user_id", F.col("item_id").alias("other"), "rating")
     return targets.select("user_id", "item_id").join(near, "item_id").join(rated, ["user_id", "other"])
@@ -67,7 +67,7 @@ def _reached_by_user(targets: DataFrame, near_users: DataFrame, train: DataFrame
 
 def predict_by_item(targets: DataFrame, near_items: DataFrame, train: DataFrame, default: Column) -> DataFrame:
     """Weighted mean of the user's ratings of the item's neighbours."""
-    return _filled(targets, _ratio(_reached_by_item(targets, near_items, train)), default)
+    return _filled(targets, _ratio(reached_by_item(targets, near_items, train)), default)
 
 
 def predict_by_user(targets: DataFrame, near_users: DataFrame, train: DataFrame, default: Column) -> DataFrame:
@@ -92,6 +92,14 @@ def predict_by_all_items(targets: DataFrame, train: DataFrame, default: float =
     return _filled(targets, scored.withColumn("raw", F.col("num") / F.col("den")), F.lit(default))
 
 
+def aligned(cells: DataFrame, train: DataFrame, test: DataFrame) -> DataFrame:
+    """Train and test rating of every cell of the full table, 0 where absent."""
+    keys = ["user_id", "item_id"]
+    side = lambda df, name: df.select(*keys, F.col("rating").alias(name))
+    joined = cells.select(*keys).join(side(train, "train_rating"), keys, "left").join(side(test, "test_rating"), keys, "left")
+    return joined.na.fill(0.0, ["train_rating", "test_rating"])
+
+
 def item_candidates(near_items: DataFrame, ratings: DataFrame) -> DataFrame:
     """Predictions for every unrated item reached through a rated neighbour."""
     near = near_items.select(F.col("id").alias("item_id"), "other", "score")

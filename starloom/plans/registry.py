@@ -10,6 +10,7 @@ GROUPS = (
     "content",
     "serving",
     "sessions",
+    "models",
 )
 
 QUERIES: dict = {}
