@@ -163,9 +163,10 @@ def nearest(
         )
         rows = rows.unionByName(skip)
     floor = 0.0 if min_score is None else min_score
+    l_blocks, r_blocks = ll.blocks, rl.blocks
 
     def kernel(batches):
-        return _top_kernel(batches, same, mirror, k, floor, ll.blocks, rl.blocks)
+        return _top_kernel(batches, same, mirror, k, floor, l_blocks, r_blocks)
 
     found = _run(rows, kernel, "id bigint, other bigint, score double, partial boolean", ll, rl, mirror)
     if ll.hot is None and rl.hot is None:
@@ -232,9 +233,10 @@ def supporters(
     """``(user_id, item_id, other, score, rank)``: the ``m`` rated items most similar to each target."""
     layout = plan_layout(vectors, hot_rows, block_ids)
     rows = _request_rows(vectors, history, targets, layout)
+    plain = layout.blocks
 
     def kernel(batches):
-        return _support_kernel(batches, m, min_score, layout.blocks)
+        return _support_kernel(batches, m, min_score, plain)
 
     schema = "user_id bigint, item_id bigint, other bigint, score double, partial boolean"
     found = _run(rows, kernel, schema, layout, layout, True)
