@@ -23,6 +23,13 @@ HEADLINE = [
     "f5_item_knn_predictions",
     "f7_all_items_predictions",
     "f14_bias_baseline",
+    "g10_content_cosine",
+    "g12_similar_items",
+    "g15_profile_recommendations",
+    "h4_grid_errors",
+    "h8_d7_hybrid_lists",
+    "i7_blocked_requests",
+    "j4_ranking_summary",
 ]
 
 
