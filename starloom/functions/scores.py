@@ -12,9 +12,9 @@ def clip(x: Column, low: float = LOW, high: float = HIGH) -> Column:
 
 
 def half_even(x: Column, digits: int) -> Column:
-    """Rounds the binary value half to even, as numerical libraries do."""
+    """Rounds half to even; noise beyond nine digits does not decide a tie."""
     scale = float(10**digits)
-    return F.rint(x * scale) / scale
+    return F.rint(F.round(x, 9) * scale) / scale
 
 
 def popularity(n: Column) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from starloom.functions import scores, titles
 from starloom.operators import catalog, profile
 from starloom.plans.oracle import cte, sql
+from starloom.session import materialize
 from starloom.sources import tables
 
 QUERIES: dict = {}
@@ -34,15 +35,13 @@ def stats_items(spark, folder):
 
 
 def initial_items(spark, folder, dedupe=False):
-    items = tables.items(spark, folder)
-    return catalog.initial_selection(
-        stats_items(spark, folder), catalog.frequent_genres(items, 8), 30, POOL, RELAXED, dedupe
-    )
+    stats = materialize(stats_items(spark, folder), "stats")
+    return catalog.initial_selection(stats, catalog.frequent_genres(stats, 8), 30, POOL, RELAXED, dedupe)
 
 
 cte("item_stats", """
-SELECT item_id, n AS rating_count, CAST(round_even(avg_raw, 3) AS DOUBLE) AS avg_rating,
-       CAST(round_even(std_raw, 3) AS DOUBLE) AS rating_std, users AS unique_users
+SELECT item_id, n AS rating_count, CAST(round_even(round(avg_raw, 9), 3) AS DOUBLE) AS avg_rating,
+       CAST(round_even(round(std_raw, 9), 3) AS DOUBLE) AS rating_std, users AS unique_users
 FROM item_stats_raw
 """, "item_stats_raw")
 cte("stats_items", """
@@ -80,8 +79,8 @@ SELECT genre, items, raw / max(raw) OVER () AS importance FROM (
   FROM item_genres JOIN item_stats_raw USING (item_id) GROUP BY genre)
 """, "item_genres", "item_stats_raw")
 cte("fallback", f"""
-SELECT item_id, CAST(round_even(avg_raw, 2) AS DOUBLE) AS avg_rating, n AS rating_count
-FROM item_stats_raw WHERE n >= {FALLBACK_COUNT} AND round_even(avg_raw, 2) >= {FALLBACK_AVG}
+SELECT item_id, CAST(round_even(round(avg_raw, 9), 2) AS DOUBLE) AS avg_rating, n AS rating_count
+FROM item_stats_raw WHERE n >= {FALLBACK_COUNT} AND round_even(round(avg_raw, 9), 2) >= {FALLBACK_AVG}
 ORDER BY avg_rating DESC, rating_count DESC, item_id LIMIT 50
 """, "item_stats_raw")
 
@@ -249,9 +248,9 @@ def _(spark, folder):
 
 
 @query("c2_feature_stats", """
-SELECT item_id, CAST(round_even(avg_raw, 3) AS DOUBLE) AS avg_rating, n AS num_ratings,
-       CAST(coalesce(round_even(std_raw, 3), 0) AS DOUBLE) AS rating_std,
-       CAST(round_even(median_raw, 3) AS DOUBLE) AS median_rating, users AS num_users
+SELECT item_id, CAST(round_even(round(avg_raw, 9), 3) AS DOUBLE) AS avg_rating, n AS num_ratings,
+       CAST(coalesce(round_even(round(std_raw, 9), 3), 0) AS DOUBLE) AS rating_std,
+       CAST(round_even(round(median_raw, 9), 3) AS DOUBLE) AS median_rating, users AS num_users
 FROM item_stats_raw
 """, "item_stats_raw")
 def _(spark, folder):
@@ -295,7 +294,7 @@ def _(spark, folder):
 
 
 @query("c7_serving_stats", """
-SELECT item_id, clean_title, coalesce(CAST(round_even(avg_raw, 1) AS DOUBLE), 3.5) AS average_rating, coalesce(n, 0) AS rating_count
+SELECT item_id, clean_title, coalesce(CAST(round_even(round(avg_raw, 9), 1) AS DOUBLE), 3.5) AS average_rating, coalesce(n, 0) AS rating_count
 FROM items LEFT JOIN item_stats_raw USING (item_id)
 """, "items", "item_stats_raw")
 def _(spark, folder):
@@ -504,7 +503,7 @@ def _(spark, folder):
 
 
 @query("k1_item_rules", """
-SELECT item_id, coalesce(NOT year BETWEEN 1900 AND 2030, TRUE) AS bad_year, NOT coalesce(round_even(avg_raw, 1), 3.5) BETWEEN 0 AND 5 AS bad_average,
+SELECT item_id, coalesce(NOT year BETWEEN 1900 AND 2030, TRUE) AS bad_year, NOT coalesce(round_even(round(avg_raw, 9), 1), 3.5) BETWEEN 0 AND 5 AS bad_average,
        coalesce(n, 0) < 0 AS bad_count, NOT length(clean_title) BETWEEN 1 AND 500 AS bad_title, len(genres) = 0 AS no_genre
 FROM items LEFT JOIN item_stats_raw USING (item_id)
 """, "items", "item_stats_raw")

@@ -25,12 +25,12 @@ SELECT i.item_id, genres_text, genres, clean_title, year,
        CAST(floor(year / 10) * 10 AS INTEGER) AS decade,
        CASE WHEN year < 1960 THEN 'Classic' WHEN year < 1980 THEN 'Retro' WHEN year < 1990 THEN 'Eighties'
             WHEN year < 2000 THEN 'Nineties' ELSE 'Modern' END AS era,
-       coalesce(CAST(round_even(avg_raw, 3) AS DOUBLE), 0) AS avg_rating, coalesce(n, 0) AS num_ratings,
-       coalesce(CAST(round_even(std_raw, 3) AS DOUBLE), 0) AS rating_std,
-       coalesce(CAST(round_even(median_raw, 3) AS DOUBLE), 0) AS median_rating,
+       coalesce(CAST(round_even(round(avg_raw, 9), 3) AS DOUBLE), 0) AS avg_rating, coalesce(n, 0) AS num_ratings,
+       coalesce(CAST(round_even(round(std_raw, 9), 3) AS DOUBLE), 0) AS rating_std,
+       coalesce(CAST(round_even(round(median_raw, 9), 3) AS DOUBLE), 0) AS median_rating,
        ln(1 + coalesce(n, 0)) AS popularity,
-       coalesce(CAST(round_even(avg_raw, 3) AS DOUBLE), 0) * ln(1 + coalesce(n, 0)) AS quality,
-       1 / (1 + coalesce(CAST(round_even(std_raw, 3) AS DOUBLE), 0)) AS reliability,
+       coalesce(CAST(round_even(round(avg_raw, 9), 3) AS DOUBLE), 0) * ln(1 + coalesce(n, 0)) AS quality,
+       1 / (1 + coalesce(CAST(round_even(round(std_raw, 9), 3) AS DOUBLE), 0)) AS reliability,
        coalesce(users, 0) / CAST(greatest(coalesce(n, 0), 1) AS DOUBLE) AS engagement,
        len(genres) AS genre_count, len(list_distinct(genres)) / CAST(len(genres) AS DOUBLE) AS genre_diversity,
        length(clean_title) AS title_length, len(regexp_split_to_array(clean_title, '\s+')) AS title_words,

@@ -296,8 +296,8 @@ cte("updated", f"""
 SELECT user_id, item_id, predicted, confidence, rank FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY round(predicted * confidence, 9) DESC, item_id) AS rank FROM (
     SELECT l.user_id, l.item_id,
-           CAST(round_even(least(5, greatest(1, l.predicted + (f.new_mean - o.old_mean) * 0.1 + (f.liked - CASE WHEN x.item_id IS NULL THEN 0 ELSE 1 END) * 0.05)), 2) AS DOUBLE) AS predicted,
-           CAST(round_even(least(0.95::DOUBLE, l.confidence + least(0.1::DOUBLE, f.k * 0.02::DOUBLE)), 2) AS DOUBLE) AS confidence
+           CAST(round_even(round(least(5, greatest(1, l.predicted + (f.new_mean - o.old_mean) * 0.1 + (f.liked - CASE WHEN x.item_id IS NULL THEN 0 ELSE 1 END) * 0.05)), 9), 2) AS DOUBLE) AS predicted,
+           CAST(round_even(round(least(0.95::DOUBLE, l.confidence + least(0.1::DOUBLE, f.k * 0.02::DOUBLE)), 9), 2) AS DOUBLE) AS confidence
     FROM old_lists_wide l
     JOIN (SELECT user_id, avg(rating) AS new_mean, count(*) AS k, count_if(rating >= 4) AS liked FROM new_ratings GROUP BY user_id) f ON f.user_id = l.user_id
     JOIN (SELECT user_id, avg(rating) AS old_mean FROM old_ratings GROUP BY user_id) o ON o.user_id = l.user_id
@@ -368,12 +368,12 @@ WITH j AS (
          o.predicted AS p_old, n.predicted AS p_new
   FROM old_lists o FULL JOIN cf_lists n ON n.user_id = o.user_id AND n.item_id = o.item_id),
 f AS (SELECT *, r_old IS NOT NULL AND r_new IS NOT NULL AND r_old <> r_new AS moved,
-             r_old IS NOT NULL AND r_new IS NOT NULL AND abs(p_old - p_new) > 0.1 AS rerated FROM j),
+             r_old IS NOT NULL AND r_new IS NOT NULL AND abs(round(p_old - p_new, 9)) > 0.1 AS rerated FROM j),
 a AS (SELECT user_id, count_if(r_old IS NULL) AS new_items, count(r_old) > 0 AS known,
              CASE WHEN count(r_old) > 0 THEN count_if(r_new IS NULL) ELSE 0 END AS removed_items,
              count_if(moved) AS n_moved, count_if(rerated) AS n_rerated,
              coalesce(array_to_string(list(item_id || ':' || r_old || '>' || r_new ORDER BY item_id) FILTER (WHERE moved)[1:10], ','), '') AS position_changes,
-             coalesce(array_to_string(list(item_id || ':' || CAST(round_even(p_new - p_old, 2) AS DOUBLE) ORDER BY item_id) FILTER (WHERE rerated)[1:10], ','), '') AS rating_changes
+             coalesce(array_to_string(list(item_id || ':' || CAST(round_even(round(p_new - p_old, 9), 2) AS DOUBLE) ORDER BY item_id) FILTER (WHERE rerated)[1:10], ','), '') AS rating_changes
       FROM f GROUP BY user_id)
 SELECT user_id, new_items, removed_items, n_moved, n_rerated, position_changes, rating_changes,
        CASE WHEN NOT known THEN 'Initial recommendations generated'

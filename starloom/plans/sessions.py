@@ -18,7 +18,7 @@ LIMIT, DAY = 3, 86_400
 TTLS = {"session_cache": 300, "stored_items": 3600, "day": DAY}
 
 cte("patterns", """
-SELECT session_id, count(*) AS total_ratings, round_even(avg(rating), 2) AS mean_rating, round_even(stddev_pop(rating), 2) AS std_rating,
+SELECT session_id, count(*) AS total_ratings, round_even(round(avg(rating), 9), 2) AS mean_rating, round_even(round(stddev_pop(rating), 9), 2) AS std_rating,
        max(rating) - min(rating) AS rating_range,
        count_if(floor(rating) = 1) AS stars_1, count_if(floor(rating) = 2) AS stars_2, count_if(floor(rating) = 3) AS stars_3,
        count_if(floor(rating) = 4) AS stars_4, count_if(floor(rating) = 5) AS stars_5,

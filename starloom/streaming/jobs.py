@@ -71,8 +71,9 @@ def latest_updates(spark: SparkSession, folder: str, keys: list[str]) -> DataFra
 class SlidingLimit(StatefulProcessor):
     """Admits up to ``limit`` requests per session and window.
 
-    State is the list of admitted times, at most ``limit`` long, and expires
-    with the window.
+    State is the list of admitted times of the last window, at most ``limit``
+    long. A session's rows of one micro-batch are sorted in memory; the files
+    per batch bound them.
     """
 
     def __init__(self, limit: int, seconds: int):
