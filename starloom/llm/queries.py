@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from starloom.llm import decontaminate, language_id, packing, secret_scan
+from starloom.llm import decontaminate, language_id, packing, quality_rules, secret_scan, toxicity, url_filter
 from starloom.llm.tables import crc_part, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,3 +46,27 @@ def contaminated(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate.contamination(
         read(spark, folder, "documents", "doc_id", "text"), read(spark, folder, "benchmark", "item_id", "text"))
     return decontaminate.digest(found)
+
+
+@query("op1_quality_rules")
+def quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules.judged(read(spark, folder, "documents", "doc_id", "text")).drop("clean_text")
+
+
+ORACLES["op1_quality_rules"] = quality_rules.oracle()
+
+
+@query("op3_url_filter")
+def urls(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filter.judge(read(spark, folder, "pages", "page_id", "url"))
+
+
+ORACLES["op3_url_filter"] = url_filter.oracle()
+
+
+@query("op10_toxicity")
+def toxic(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents", "doc_id", "text")
+    held_out = crc_part(F.col("doc_id"), 5) == 0
+    model = toxicity.train(docs.where(~held_out), read(spark, folder, "labels", "doc_id", "toxic"))
+    return toxicity.score(docs.select("doc_id", held_out.alias("held_out"), "text"), model).drop("features")
