@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from starloom.llm import decontaminate, language_id, packing, quality_rules, secret_scan, toxicity, url_filter
+from starloom.llm import decontaminate, jaccard_join, language_id, packing, quality_rules, secret_scan, toxicity, url_filter
 from starloom.llm.tables import crc_part, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,3 +70,8 @@ def toxic(spark: SparkSession, folder: str) -> DataFrame:
     held_out = crc_part(F.col("doc_id"), 5) == 0
     model = toxicity.train(docs.where(~held_out), read(spark, folder, "labels", "doc_id", "toxic"))
     return toxicity.score(docs.select("doc_id", held_out.alias("held_out"), "text"), model).drop("features")
+
+
+@query("op9_jaccard_join")
+def similar(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.similar_groups(read(spark, folder, "documents", "doc_id", "text"))
