@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from starloom.llm.tables import stored
+from starloom.llm.tables import Scratch
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -35,11 +35,13 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", label: str = "compo
 
     Null ends are ignored, as are loops and repeated edges.
     """
-    now = stored(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where(
-        F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b))).distinct(), label)
+    scratch = Scratch(edges.sparkSession, label)
+    now = scratch.store(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where(
+        F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b))).distinct(), "edges")
     state = _state(now)
     while state[0]:
-        now = stored(_small_star(_large_star(now)), label)
+        last, now = now, scratch.store(_small_star(_large_star(now)), "round")
+        scratch.drop(last)
         before, state = state, _state(now)
         if state == before:
             break

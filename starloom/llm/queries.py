@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from starloom.llm import decontaminate, jaccard_join, language_id, packing, quality_rules, secret_scan, toxicity, url_filter
+from starloom.llm import decontaminate, jaccard_join, language_id, packing, quality_rules, secret_scan, substring_dedup, toxicity, url_filter
 from starloom.llm.tables import crc_part, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,3 +75,9 @@ def toxic(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_jaccard_join")
 def similar(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.similar_groups(read(spark, folder, "documents", "doc_id", "text"))
+
+
+@query("op4_substring_dedup")
+def substrings(spark: SparkSession, folder: str) -> DataFrame:
+    kept = substring_dedup.without_repeats(read(spark, folder, "documents", "doc_id", "text"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))

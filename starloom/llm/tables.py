@@ -9,10 +9,9 @@ import pyarrow as pa
 from pyspark import Broadcast, cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from starloom.session import materialize as stored
 from starloom.session import scratch_path
 
-__all__ = ["read", "stored", "scratch_path", "id_text", "matching", "rebatched", "crc_part", "send", "received"]
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 #: Ids that may be broadcast to find rows by id: 8 bytes each, 16 MB.
 BROADCAST_IDS = 2_000_000
@@ -32,14 +31,14 @@ def crc_part(column, parts: int):
     return F.coalesce(F.crc32(column.cast("string")) % parts, F.lit(0))
 
 
-def matching(df: DataFrame, ids: DataFrame, count: int) -> DataFrame:
-    """Rows of ``df`` whose ``doc_id`` is in ``ids`` (``count`` distinct rows).
+def matching(df: DataFrame, ids: DataFrame, count: int, how: str = "left_semi") -> DataFrame:
+    """Rows of ``df`` whose ``doc_id`` is in ``ids`` (``count`` distinct rows), or not in it.
 
     Up to ``BROADCAST_IDS`` ids are sent to the rows, so that other rows are
     dropped before any shuffle; beyond that both sides are shuffled.
     """
     keys = ids.select("doc_id")
-    return df.join(F.broadcast(keys) if count <= BROADCAST_IDS else keys, "doc_id", "left_semi")
+    return df.join(F.broadcast(keys) if count <= BROADCAST_IDS else keys, "doc_id", how)
 
 
 def rebatched(batches: Iterator[pa.RecordBatch], rows: int = 2000) -> Iterator[pa.RecordBatch]:
@@ -60,3 +59,42 @@ def send(spark: SparkSession, value) -> Broadcast:
 
 def received(held: Broadcast):
     return cloudpickle.loads(held.value)
+
+
+class Scratch:
+    """Tables of one run in the folder that all executors share.
+
+    A table cuts the lineage: lost executors read it again instead of
+    computing it again. Shuffle files of a step go when its table is written,
+    and tables go when no later step reads them.
+    """
+
+    def __init__(self, spark: SparkSession, label: str):
+        self.spark, self.folder, self.paths, self.count = spark, scratch_path(spark, label), {}, 0
+
+    def store(self, df: DataFrame, name: str) -> DataFrame:
+        self.count += 1
+        path = f"{self.folder}/{name}-{self.count}"
+        before = self.spark.conf.get(CLEANUP, None)
+        self.spark.conf.set(CLEANUP, "true")
+        try:
+            df.write.parquet(path)
+        finally:
+            if before is None:
+                self.spark.conf.unset(CLEANUP)
+            else:
+                self.spark.conf.set(CLEANUP, before)
+        table = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(table)] = (path, table)
+        return table
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Deletes tables that this object stored."""
+        for table in tables:
+            path, _ = self.paths.pop(id(table))
+            where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    return Scratch(df.sparkSession, label).store(df, "table")
