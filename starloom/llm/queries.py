@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from starloom.llm import decontaminate, jaccard_join, language_id, packing, quality_rules, secret_scan, substring_dedup, toxicity, url_filter
+from starloom.llm import decontaminate, jaccard_join, language_id, lm_scoring, packing, quality_rules, secret_scan, substring_dedup, toxicity, url_filter
 from starloom.llm.tables import crc_part, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +81,9 @@ def similar(spark: SparkSession, folder: str) -> DataFrame:
 def substrings(spark: SparkSession, folder: str) -> DataFrame:
     kept = substring_dedup.without_repeats(read(spark, folder, "documents", "doc_id", "text"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query("op6_lm_scoring")
+def likelihood(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents", "doc_id", "text")
+    return lm_scoring.scored(docs, "coalesce(crc32(cast(doc_id AS string)) % 5, 0) <> 1")

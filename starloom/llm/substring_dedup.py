@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from starloom.llm import words as W
-from starloom.llm.tables import Scratch, matching, rebatched
+from starloom.llm.tables import Scratch, keyed, matching, rebatched
 
 WINDOW, K = 35, 8
 _BASE, _SECOND = 0xD6E8FEB86659FD93, 0xA0761D6478BD642F
@@ -86,11 +86,6 @@ def nodes_of(chunk: W.Chunk, hashes: np.ndarray, window: int, k: int) -> Nodes:
                  np.concatenate([edge, begin, end])[order], windows, place[np.searchsorted(at, chosen)])
 
 
-def _keyed(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    key = F.col(id_column).cast("long")
-    return docs.select(key.alias("id"), F.coalesce(key, F.xxhash64(text_column)).alias("doc_id"), F.col(text_column).alias("text"))
-
-
 def _graph(docs: DataFrame, window: int, k: int) -> DataFrame:
     """Nodes of all documents: ``doc_id``, ``at`` (word number), ``node``, ``edge``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -213,18 +208,18 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, k: int = K, id_column
     elsewhere; all of its copies go, the first one too.
     """
     spark = docs.sparkSession
-    keyed = _keyed(docs, id_column, text_column)
+    rows = keyed(docs, id_column, text_column)
     scratch = Scratch(spark, "substrings")
-    graph = scratch.store(_graph(keyed, window, k), "graph")
+    graph = scratch.store(_graph(rows, window, k), "graph")
     marks = _marks(graph, scratch)
     scratch.drop(graph)
     touched = marks.count()
-    near = matching(keyed, marks, touched).join(marks, "doc_id")
+    near = matching(rows, marks, touched).join(marks, "doc_id")
     opened = _open_windows(near, window, k).groupBy("h1", "h2").agg(
         F.count("*").alias("n"), F.min("doc_id").alias("doc_id"), F.min("at").alias("at")).where("n = 1")
     single = scratch.store(opened.groupBy("doc_id").agg(F.collect_list("at").alias("single")), "single")
     near = near.join(single, "doc_id", "left").withColumn("single", F.coalesce("single", F.array().cast("array<int>")))
-    far = matching(keyed, marks, touched, "left_anti")
+    far = matching(rows, marks, touched, "left_anti")
     cut = _cut(near.select("id", "text", "marks", "single"), window, k).unionAll(_cut(far.select("id", "text"), window, k))
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
     return cut.select(F.col("id").alias("doc_id"), "n_words", "spans", removed.alias("n_removed"), "kept_text")

@@ -26,6 +26,13 @@ def id_text(texts: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     return texts.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
 
 
+def keyed(docs: DataFrame, id_column: str, text_column: str, *more) -> DataFrame:
+    """``id``, ``text`` and a ``doc_id`` that is the id, or a hash of the text where that is null."""
+    key = F.col(id_column).cast("long")
+    text = F.col(text_column)
+    return docs.select(key.alias("id"), F.coalesce(key, F.xxhash64(F.lit("no id"), text)).alias("doc_id"), text.alias("text"), *more)
+
+
 def crc_part(column, parts: int):
     """``crc32`` of an id as text, modulo ``parts``; a null id is in part 0."""
     return F.coalesce(F.crc32(column.cast("string")) % parts, F.lit(0))
