@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from starloom.llm import words as W
 from starloom.llm.components import components
-from starloom.llm.tables import id_text, matching, rebatched, received, send, stored
+from starloom.llm.tables import Scratch, id_text, matching, rebatched, received, send
 
 #: Min-hash keys of a document and minima in each.
 KEYS, MINIMA = 8, 3
@@ -66,18 +66,19 @@ def needed(n: np.ndarray, percent: int) -> np.ndarray:
 
 
 def bitmap_bits(n: int) -> int:
-    """A power of two, at least twice the size."""
-    return max(64, 1 << (2 * n - 1).bit_length())
+    """A power of two, at least the size."""
+    return max(64, 1 << (n - 1).bit_length())
 
 
-def overlap_bound(n_a: int, sig_a: bytes, n_b: int, sig_b: bytes) -> int:
-    """Upper bound of the overlap by the bits that only one bitmap has."""
-    a, b = np.frombuffer(sig_a, np.uint64), np.frombuffer(sig_b, np.uint64)
-    while len(a) > len(b):
-        a = a[:len(a) // 2] | a[len(a) // 2:]
-    while len(b) > len(a):
-        b = b[:len(b) // 2] | b[len(b) // 2:]
-    return min(n_a - int(np.bitwise_count(a & ~b).sum()), n_b - int(np.bitwise_count(b & ~a).sum()))
+#: Upper bound of the overlap by the bits that only one of two bitmaps has; the wider one is folded to the other's width.
+FOLDED = """CASE WHEN size({0}) > size({1}) THEN zip_with(slice({0}, 1, size({1})), slice({0}, size({1}) + 1, size({1})), (x, y) -> x | y)
+    ELSE {0} END"""
+ONLY = "aggregate(zip_with({0}, {1}, (x, y) -> bit_count(x & ~y)), 0, (s, x) -> s + x)"
+
+
+def overlap_bound() -> str:
+    a, b = FOLDED.format("bitmap_a", "bitmap_b"), FOLDED.format("bitmap_b", "bitmap_a")
+    return f"least(n_a - {ONLY.format(a, b)}, n_b - {ONLY.format(b, a)})"
 
 
 def _common(docs: DataFrame, k: int) -> np.ndarray:
@@ -112,7 +113,7 @@ def _common(docs: DataFrame, k: int) -> np.ndarray:
     return np.sort(found["shingle"].to_numpy().view(np.uint64))
 
 
-PROFILE = "doc_id bigint, n bigint, s1 bigint, s2 bigint, keys array<bigint>, prefix array<bigint>, bitmap binary"
+PROFILE = "doc_id bigint, n bigint, s1 bigint, s2 bigint, keys array<bigint>, prefix array<bigint>, bitmap array<bigint>"
 
 
 def _profiles(docs: DataFrame, k: int, percent: int, common: np.ndarray) -> DataFrame:
@@ -146,14 +147,14 @@ def _profiles(docs: DataFrame, k: int, percent: int, common: np.ndarray) -> Data
                     prefix = np.concatenate([mine[first], mine[~first]])[:n - int(needed(n, percent)) + 1] if n else mine
                     columns[0].append(n)
                     columns[4].append(prefix.view(np.int64))
-                    columns[5].append(_bitmap(mixed[a:b]) if n else b"")
+                    columns[5].append(_bitmap(mixed[a:b]) if n else mine.view(np.int64))
                 columns[1] += sums[:, 0].view(np.int64).tolist()
                 columns[2] += sums[:, 1].view(np.int64).tolist()
                 columns[3] += [keys[i].view(np.int64) if size[i] else [] for i in range(chunk.rows)]
-            longs, binary = pa.list_(pa.int64()), pa.binary()
+            longs = pa.list_(pa.int64())
             yield pa.record_batch(
                 [batch["doc_id"].cast(pa.int64()), *(pa.array(columns[i], kind) for i, kind in
-                 enumerate((pa.int64(), pa.int64(), pa.int64(), longs, longs, binary)))],
+                 enumerate((pa.int64(), pa.int64(), pa.int64(), longs, longs, longs)))],
                 names=["doc_id", "n", "s1", "s2", "keys", "prefix", "bitmap"])
 
     return docs.mapInArrow(run, PROFILE)
@@ -165,20 +166,20 @@ def _member(keys: np.ndarray, values: np.ndarray) -> np.ndarray:
     return keys[np.minimum(np.searchsorted(keys, values), len(keys) - 1)] == values
 
 
-def _bitmap(mixed: np.ndarray) -> bytes:
+def _bitmap(mixed: np.ndarray) -> np.ndarray:
     # the low hash bits choose a word of the map, so that its halves fold; the top ones a bit of the word
     bits = bitmap_bits(len(mixed))
     flags = np.zeros(bits, np.uint8)
     word = (mixed & np.uint64(bits // 64 - 1)).astype(np.int64)
     flags[word * 64 + (mixed >> np.uint64(58)).astype(np.int64)] = 1
-    return np.packbits(flags, bitorder="little").tobytes()
+    return np.packbits(flags, bitorder="little").view(np.int64)
 
 
 def verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs ``(a, b)`` of documents whose sets are similar enough, by exact intersection."""
     def texts(side: str) -> DataFrame:
         ids = pairs.select(F.col(side).alias("doc_id")).distinct()
-        found = matching(docs, ids, ids.count()).dropDuplicates(["doc_id"])
+        found = matching(docs, ids, ids.count())
         return found.select(F.col("doc_id").alias(side), F.col("text").alias(f"text_{side}"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,55 +208,53 @@ def _starred(reps: DataFrame) -> DataFrame:
     return keyed.join(first, "key").groupBy(F.col("doc_id").alias("a")).agg(F.min("b").alias("b")).where("b < a")
 
 
-def _tiled(reps: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
+def _tiled(reps: DataFrame, maps: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     """Pairs of different components that share a tile and pass the bounds.
 
     ``reps`` has ``comp``, the component as (size, id), so that the largest one
-    of a tile is its maximum.
+    of a tile is its maximum. Of a pair, the smaller set needs a shorter
+    prefix; the places of the shared shingle bound what can be shared beside it.
     """
-    step = log(100 / percent)
-    entries = reps.select("doc_id", "n", "comp", F.explode("prefix").alias("token"))
+    entries = reps.select("doc_id", "n", "comp", F.posexplode("prefix").alias("at", "token"))
     tiles = entries.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high")
-    band = F.floor(F.log(F.col("n").cast("double")) / F.lit(step) + F.lit(1e-9)).cast("int")
-    entries = stored(entries.join(tiles, "token").select(
-        "token", "doc_id", "n", F.col("comp.id").alias("comp"), (F.col("comp") == F.col("high")).alias("main"), band.alias("band")), "tiles")
-    large = entries.select("token", "band", *[F.col(c).alias(f"{c}_a") for c in ("doc_id", "n", "comp", "main")])
-    small = entries.select(
-        "token", F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("band"),
-        *[F.col(c).alias(f"{c}_b") for c in ("doc_id", "n", "comp", "main")])
-    ordered = F.expr("(n_a > n_b OR (n_a = n_b AND doc_id_a > doc_id_b))") & F.expr(f"100 * n_b >= {percent} * n_a") & F.expr("comp_a <> comp_b")
-    met = [large.where(x).join(small.where(y), ["token", "band"]).where(ordered).select(
+    band = F.floor(F.log(F.col("n").cast("double")) / F.lit(log(100 / percent))).cast("int")
+    entries = scratch.store(entries.join(tiles, "token").select(
+        "token", "at", "doc_id", "n", F.col("comp.id").alias("comp"), (F.col("comp") == F.col("high")).alias("main"),
+        band.alias("band")).join(maps, "doc_id"), "tiles")
+    columns = [c for c in entries.columns if c != "token"]
+    large = entries.select("token", *[F.col(c).alias(f"{c}_a") for c in columns])
+    small = entries.where(f"at <= n - CAST(ceil({2 * percent} * n / {100 + percent}) AS INT)").select(
+        "token", *[F.col(c).alias(f"{c}_b") for c in columns])
+    wanted = f"{percent} * (n_a + n_b)"
+    passes = F.expr(f"""comp_a <> comp_b AND band_a - band_b BETWEEN 0 AND 1 AND (n_a > n_b OR (n_a = n_b AND doc_id_a > doc_id_b))
+        AND 100 * n_b >= {percent} * n_a
+        AND {100 + percent} * (least(at_a, at_b) + 1 + least(n_a - at_a, n_b - at_b) - 1) >= {wanted}
+        AND {100 + percent} * {overlap_bound()} >= {wanted}""")
+    met = [large.where(x).join(small.where(y), "token").where(passes).select(
         F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b")) for x, y in (("NOT main_a", "true"), ("main_a", "NOT main_b"))]
-    pairs = met[0].unionAll(met[1]).distinct()
-    pairs = pairs.join(maps.toDF("a", "n_a", "sig_a"), "a").join(maps.toDF("b", "n_b", "sig_b"), "b")
-
-    def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = zip(*(batch[c].to_pylist() for c in ("n_a", "sig_a", "n_b", "sig_b")))
-            keep = [(100 + percent) * overlap_bound(*r) >= percent * (r[0] + r[2]) for r in rows]
-            yield pa.record_batch([batch["a"], batch["b"]], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    return pairs.select("a", "b", "n_a", "sig_a", "n_b", "sig_b").mapInArrow(bounded, "a bigint, b bigint")
+    return met[0].unionAll(met[1]).distinct()
 
 
 def similar_groups(docs: DataFrame, k: int = 4, percent: int = 85, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id`` (smallest id reachable by links) for every row."""
     docs = id_text(docs, id_column, text_column).withColumn("doc_id", F.col("doc_id").cast("long"))
-    profiles = stored(_profiles(docs, k, percent, _common(docs, k)), "profiles")
+    scratch = Scratch(docs.sparkSession, "jaccard")
+    profiles = scratch.store(_profiles(docs, k, percent, _common(docs, k)), "profiles")
     whole = profiles.where("n > 0 AND doc_id IS NOT NULL")
-    classes = stored(whole.groupBy("s1", "s2").agg(F.min("doc_id").alias("rep")), "classes")
+    if not whole.groupBy("doc_id").count().where("count > 1").isEmpty():
+        docs = docs.dropDuplicates(["doc_id"])
+    classes = scratch.store(whole.groupBy("s1", "s2").agg(F.min("doc_id").alias("rep")), "classes")
     reps = whole.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    stars = stored(_starred(reps), "stars")
-    links = stored(verified(stars, docs, k, percent), "links")
+    stars = scratch.store(_starred(reps), "stars")
+    links = scratch.store(verified(stars, docs, k, percent), "links")
     first = components(links)
     size = first.groupBy("component").agg(F.count("*").alias("members"))
     sized = first.join(size, "component").select(F.col("id").alias("doc_id"), "component", "members").unionAll(
         size.select(F.col("component").alias("doc_id"), "component", "members"))
     ranked = reps.select("doc_id", "n", "prefix").join(sized, "doc_id", "left").select("doc_id", "n", "prefix", F.struct(
         F.coalesce("members", F.lit(0)).alias("members"), F.coalesce("component", "doc_id").alias("id")).alias("comp"))
-    tiled = stored(_tiled(ranked, reps.select("doc_id", "n", "bitmap"), percent), "tiled")
-    more = verified(tiled, docs, k, percent)
-    final = components(links.unionAll(more))
+    tiled = scratch.store(_tiled(ranked, reps.select("doc_id", "bitmap"), percent, scratch), "tiled")
+    final = components(links.unionAll(verified(tiled, docs, k, percent)))
     named = classes.join(final.withColumnRenamed("id", "rep"), "rep", "left").select(
         "s1", "s2", F.coalesce("component", "rep").alias("component"))
     return profiles.select("doc_id", "n", "s1", "s2").join(named, ["s1", "s2"], "left").select(
