@@ -2,8 +2,8 @@
 
 Each stage gets all rows that the one before kept, as a Parquet table, and its
 decisions take effect: documents in no learned language go, one document of
-each group of near copies stays, documents that mostly repeat benchmark items
-go, secrets are masked, and what is left is packed into sequences. All but the
+each group of near copies stays, documents that hold passages of benchmark
+items go, secrets are masked, and what is left is packed into sequences. All but the
 last return the columns of documents.
 
 Extra columns are carried along. Every stage gives an empty result for an empty
@@ -21,8 +21,6 @@ from starloom.llm.tables import Scratch, crc_part, read
 
 #: Least probability of the language; texts without letters have none.
 LEAST_PROBABILITY = 0.5
-#: Share of its words that a document may have in common with benchmark items.
-MOST_SHARED = 0.0
 
 ORACLE_SQL = None
 
@@ -35,9 +33,10 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def keep_one_of_a_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group of linked documents, and repeated rows once.
+    """Keeps the document with the smallest id of each group of linked documents.
 
-    Documents without words are in no group and stay, and so do rows without an id.
+    Rows that share an id are one document and stay together. Documents without
+    words are in no group and stay, and so do rows without an id.
     """
     groups = jaccard_join.similar_groups(docs)
     copies = groups.where("doc_id IS NOT NULL AND doc_id <> component_id").select("doc_id").distinct()
@@ -47,7 +46,7 @@ def keep_one_of_a_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a window of a benchmark item."""
     found = decontaminate.contamination(docs, read(spark, sf_dir, "benchmark", "item_id", "text"))
-    hit = decontaminate.covered_share(found).where(F.col("share") > MOST_SHARED).select("doc_id").distinct()
+    hit = decontaminate.digest(found).where("contaminated").select("doc_id").distinct()
     return docs.join(hit, "doc_id", "left_anti").select(*docs.columns)
 
 

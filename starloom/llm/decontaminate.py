@@ -206,7 +206,3 @@ def digest(found: DataFrame) -> DataFrame:
         "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
 
-
-def covered_share(found: DataFrame) -> DataFrame:
-    """``doc_id`` and the share of its words that item windows cover."""
-    return digest(found).select("doc_id", (F.col("n_hit") / F.greatest(F.col("n_words"), F.lit(1))).alias("share"))
