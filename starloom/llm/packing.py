@@ -14,8 +14,10 @@ each on its own. Columns besides id and text are ignored.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,16 +28,27 @@ from starloom.llm import words as W
 from starloom.llm.tables import id_text, rebatched
 
 #: Words whose ids a task remembers.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 #: Tokens that wait in a task before sequences are filled from them.
 WAITING = 400_000
+#: Words of letters that have one lower-case form of one code point, and a mark that is a token of its own after them.
+PLAIN = re.compile(r"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+)([.,]?)")
+
+
+def byte_alphabet() -> dict[int, str]:
+    """One visible character per byte, as byte-level tokenizers write them."""
+    seen = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    hidden = [b for b in range(256) if b not in seen]
+    return {b: chr(b) for b in seen} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
 class WordIds:
     """Token ids of texts whose tokenizer never joins characters across white space.
 
     Distinct words are encoded once and remembered; a text's ids are those of
-    its words in order, then ``end_id``.
+    its words in order, then ``end_id``. Plain words go to the tokenizer's
+    model at once, if some trials agree: it then lower-cases, takes a run of
+    letters as one piece, and writes bytes as characters.
     """
 
     def __init__(self, path: str, end_id: int):
@@ -43,43 +56,72 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.end_id = Tokenizer.from_file(path), end_id
-        self.separators = W.space_separated()
+        self.model, self.separators = self.tokenizer.model, W.space_separated()
+        self.tail = {"": (), **{x: tuple(self.tokenizer.encode(x, add_special_tokens=False).ids) for x in ".,"}}
+        self.alphabet = byte_alphabet()
+        ids = lambda word: tuple(self.tokenizer.encode(word, add_special_tokens=False).ids)
+        self.plain = all(self._core(w.lower()) == ids(w) for w in ("Word", "naïve", "ÀÉÍ", "straße", "qzxj")) and all(
+            ids(f"word{x}") == ids("word") + ids(x) for x in ".,")
         self.forget()
 
+    def _core(self, word: str) -> tuple:
+        return tuple(t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(self.alphabet)))
+
     def forget(self) -> None:
-        self.slot: dict[int, int] = {}
-        self.pool, self.used = np.zeros(1 << 16, np.uint32), 1
-        self.at, self.size = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
-        self.pool[0], self.size[0] = self.end_id, 1  # slot 0 is the end id
-
-    def _add(self, hashes: list[int], texts: list[str]) -> None:
-        for h, found in zip(hashes, self.tokenizer.encode_batch(texts, add_special_tokens=False)):
-            ids, slot = found.ids, len(self.slot) + 1
-            if slot >= len(self.at):
-                self.at, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.at, self.size))
-            while self.used + len(ids) > len(self.pool):
-                self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
-            self.pool[self.used:self.used + len(ids)] = ids
-            self.at[slot], self.size[slot], self.slot[h] = self.used, len(ids), slot
-            self.used += len(ids)
+        self.core: dict[str, tuple] = {}
+        self.known, self.slot = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.pool = np.array([self.end_id], np.uint32)  # slot 0 is the end id
+        self.at, self.size = np.zeros(1, np.int64), np.ones(1, np.int64)
+
+    def _encode(self, words: list[str]) -> list[tuple]:
+        out: list = [None] * len(words)
+        other = []
+        for i, word in enumerate(words):
+            plain = PLAIN.fullmatch(word)
+            if plain is None or not self.plain:
+                other.append(i)
+                continue
+            core = plain[1].lower()
+            ids = self.core.get(core)
+            if ids is None:
+                ids = self.core[core] = self._core(core)
+            out[i] = ids + self.tail[plain[2]]
+        for at in range(0, len(other), 2000):
+            part = other[at:at + 2000]
+            for i, found in zip(part, self.tokenizer.encode_batch([words[i] for i in part], add_special_tokens=False)):
+                out[i] = tuple(found.ids)
+        return out
+
+    def _slots(self, hashes: np.ndarray, chunk: W.Chunk, first: np.ndarray) -> np.ndarray:
+        """Slots of distinct words; new ones are encoded."""
+        at = np.minimum(np.searchsorted(self.known, hashes), max(0, len(self.known) - 1))
+        new = self.known[at] != hashes if len(self.known) else np.ones(len(hashes), bool)
+        if new.any():
+            encoded = self._encode([chunk.word(i).decode() for i in first[new]])
+            size = np.fromiter(map(len, encoded), np.int64, len(encoded))
+            slots = len(self.at) + np.arange(len(encoded))
+            self.at = np.concatenate([self.at, len(self.pool) + np.cumsum(size) - size])
+            self.size = np.concatenate([self.size, size])
+            self.pool = np.concatenate([self.pool, np.fromiter(chain.from_iterable(encoded), np.uint32, int(size.sum()))])
+            known = np.concatenate([self.known, hashes[new]])
+            order = np.argsort(known, kind="stable")
+            self.known, self.slot = known[order], np.concatenate([self.slot, slots])[order]
+        return self.slot[np.searchsorted(self.known, hashes)]
 
     def rows(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """Ids of each text."""
         for chunk in W.chunks(texts, self.separators, limit=1_000_000):
-            distinct, first, which = np.unique(chunk.hashes(), return_index=True, return_inverse=True)
-            if len(self.slot) > REMEMBERED:
+            if len(self.known) > REMEMBERED:
                 self.forget()
-            known = distinct.tolist()
-            new = [i for i, h in enumerate(known) if h not in self.slot]
-            self._add([known[i] for i in new], [chunk.word(first[i]).decode() for i in new])
-            slots = np.fromiter((self.slot[h] for h in known), np.int64, len(known))[which]
+            distinct, first, which = np.unique(chunk.hashes(), return_index=True, return_inverse=True)
+            slots = self._slots(distinct, chunk, first)[which] if len(distinct) else np.zeros(0, np.int64)
             slots = np.insert(slots, chunk.bounds[1:], 0)
             size = self.size[slots]
             ends = np.cumsum(size)
             ids = self.pool[np.repeat(self.at[slots] - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)]
             cut = ends[chunk.bounds[1:] + np.arange(chunk.rows)]
             for start, end in zip(np.concatenate([[0], cut[:-1]]), cut):
-                yield ids[start:end]
+                yield ids[start:end].copy()
 
 
 class Packer:
@@ -188,7 +230,7 @@ def pack(docs: DataFrame, tokenizer_path: str, id_column: str = "doc_id", text_c
                                    names=["doc_id", *_FIELDS])
 
         kind = pa.int64()
-        for batch in rebatched(batches, 500):
+        for batch in rebatched(batches, 200):
             kind = batch["doc_id"].type
             waiting = []
             for key, prompt_ids, ids in zip(batch["doc_id"].to_pylist(), batch["prompt"].to_pylist(), words.rows(batch["text"])):
