@@ -33,10 +33,8 @@ from starloom.llm.tables import Scratch, id_text, matching, rebatched, received,
 
 #: Min-hash keys of a document and minima in each.
 KEYS, MINIMA = 8, 3
-#: A shingle in this share of all documents goes last in the order.
-COMMON = 0.001
-#: Documents of a task below which a shingle is not called common.
-LEAST_COMMON = 32
+#: A shingle goes last in the order from so many documents on, or one of so many.
+LEAST_COMMON, COMMON = 24, 4000
 _ODD = np.random.default_rng(7).integers(1, 1 << 62, KEYS * MINIMA, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -81,36 +79,27 @@ def overlap_bound() -> str:
     return f"least(n_a - {ONLY.format(a, b)}, n_b - {ONLY.format(b, a)})"
 
 
-def _common(docs: DataFrame, k: int) -> np.ndarray:
-    """Hashes of common shingles, at most ``1 / COMMON`` times as many as a document has.
+def _common(docs: DataFrame, k: int, percent: int) -> np.ndarray:
+    """Hashes of shingles that many documents would have in their prefixes.
 
-    A task reports those it finds twice in a chunk and often overall. The list
-    only sets an order, so what a task leaves out does no harm.
+    Counted are twice as long prefixes, so that what moves up when common
+    shingles move back is counted too. At least ``LEAST_COMMON`` documents, or
+    one of ``COMMON`` of them, make a shingle common, so for prefixes of 130
+    shingles there are at most half a million. The list only sets an order.
     """
-    total = docs.count()
+    least = max(LEAST_COMMON, docs.count() // COMMON)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        buckets, rows = np.zeros(1 << 20, np.int32), 0
-        kept: list[np.ndarray] = []
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rebatched(batches):
-            rows += batch.num_rows
             for chunk in W.chunks(batch["text"], W.space_separated(), W.lower_ascii()):
-                values, _ = sets_of(chunk, k)
-                place = (values >> np.uint64(44)).astype(np.int64)
-                buckets += np.bincount(place, minlength=len(buckets)).astype(np.int32)
-                heavy = buckets[place] >= LEAST_COMMON
-                found, n = np.unique(values[heavy], return_counts=True)
-                kept.append(found[n >= 2])
-                if len(kept) > 64:
-                    kept = [np.unique(np.concatenate(kept))]
-        found = np.unique(np.concatenate(kept)) if kept else np.zeros(0, np.uint64)
-        n = buckets[(found >> np.uint64(44)).astype(np.int64)]
-        some = n >= max(LEAST_COMMON, rows * COMMON)
-        yield pa.record_batch({"shingle": pa.array(found[some].view(np.int64)), "n": pa.array(n[some].astype(np.int64))})
-
-    found = docs.select("text").mapInArrow(count, "shingle bigint, n bigint").groupBy("shingle").agg(F.sum("n").alias("n"))
-    found = found.where(F.col("n") >= max(LEAST_COMMON, total * COMMON)).select("shingle").toArrow()
-    return np.sort(found["shingle"].to_numpy().view(np.uint64))
+                values, at = sets_of(chunk, k)
+                size = np.diff(at)
+                first = np.arange(len(values)) - np.repeat(at[:-1], size)
+                taken = first < np.repeat(2 * (size - needed(size, percent) + 1), size)
+                yield pa.record_batch({"token": pa.array(values[taken].view(np.int64))})
+
+    found = docs.select("text").mapInArrow(run, "token bigint").groupBy("token").agg(F.count("*").alias("n"))
+    return np.sort(found.where(F.col("n") >= least).select("token").toArrow()["token"].to_numpy().view(np.uint64))
 
 
 PROFILE = "doc_id bigint, n bigint, s1 bigint, s2 bigint, keys array<bigint>, prefix array<bigint>, bitmap array<bigint>"
@@ -239,7 +228,7 @@ def similar_groups(docs: DataFrame, k: int = 4, percent: int = 85, id_column: st
     """``doc_id``, ``n_shingles`` and ``component_id`` (smallest id reachable by links) for every row."""
     docs = id_text(docs, id_column, text_column).withColumn("doc_id", F.col("doc_id").cast("long"))
     scratch = Scratch(docs.sparkSession, "jaccard")
-    profiles = scratch.store(_profiles(docs, k, percent, _common(docs, k)), "profiles")
+    profiles = scratch.store(_profiles(docs, k, percent, _common(docs, k, percent)), "profiles")
     whole = profiles.where("n > 0 AND doc_id IS NOT NULL")
     if not whole.groupBy("doc_id").count().where("count > 1").isEmpty():
         docs = docs.dropDuplicates(["doc_id"])
