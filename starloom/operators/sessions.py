@@ -102,15 +102,14 @@ def validate(ratings: DataFrame) -> DataFrame:
 
 
 def compact(ratings: DataFrame) -> DataFrame:
-    """Ratings of a session as arrays in item order, with mean and count.
+    """Ratings of a session as arrays in item order, with mean and count, for sessions of every size.
 
-    Sessions above ``MAX_SESSION`` ratings are refused anyway; they keep their
-    row with null arrays, so no array exceeds that size.
+    A session has one latest rating per item, so its arrays are bounded by the catalogue.
     """
-    sizes = ratings.groupBy("session_id").agg(F.count("*").alias("rating_count"), F.avg("rating").alias("mean_rating"))
-    small = ratings.join(sizes.where(F.col("rating_count") <= MAX_SESSION), "session_id", "left_semi")
-    cells = small.groupBy("session_id").agg(F.array_sort(F.collect_list(F.struct("item_id", "rating"))).alias("cells"))
-    return sizes.join(cells, "session_id", "left").select(
+    cells = ratings.groupBy("session_id").agg(
+        F.array_sort(F.collect_list(F.struct("item_id", "rating"))).alias("cells"),
+        F.avg("rating").alias("mean_rating"), F.count("*").alias("rating_count"))
+    return cells.select(
         "session_id", F.col("cells.item_id").alias("item_ids"), F.col("cells.rating").alias("ratings"), "mean_rating", "rating_count"
     )
 

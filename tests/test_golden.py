@@ -75,9 +75,19 @@ def test_session_key_ignores_order(spark):
     assert len(key({1: 4.0})) == 16
 
 
-def test_oversized_session_keeps_its_row(spark):
-    row = sessions.session_keys(session(spark, {i: 1.0 + i % 5 for i in range(1, 1102)})).first()
-    assert row["session_key"] is None
+def test_large_session_has_key_and_arrays(spark):
+    large = session(spark, {i: 1.0 + i % 5 for i in range(1, 1102)})
+    row = sessions.compact(large).first()
+    assert len(row["item_ids"]) == len(row["ratings"]) == row["rating_count"] == 1101
+    assert len(sessions.session_keys(large).first()["session_key"]) == 16
+
+
+def test_long_list_keeps_all_rows(spark):
+    rows = [(1, i, 5.0 - i / 100, 1, i) for i in range(1, 121)]
+    items = spark.createDataFrame([(i, ["a"]) for i in range(1, 121)], "item_id bigint, genres array<string>")
+    found = serving.diversify(lists(spark, rows), items).collect()
+    assert sorted(r["rank"] for r in found) == list(range(1, 121))
+    assert all(r["rank"] == r["item_id"] for r in found if r["item_id"] > 100)
 
 
 def test_delta(spark):
