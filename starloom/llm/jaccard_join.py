@@ -10,8 +10,9 @@ Documents with the same shingle set become one representative. Then
    in ours. Such a shingle and a size band make a tile; sets of neighbouring
    bands meet in it. Only pairs of different components are needed, and tiles
    that hold a single component are dropped; of the others, the members of the
-   largest component meet the rest only. Bit counts of the hashed bitmaps bound
-   the overlap from above; what passes is intersected exactly.
+   largest component meet the rest only. Bit counts of the hashed bitmaps, in
+   the tile folded to a fixed width, bound the overlap from above; what passes
+   is intersected exactly.
 
 Sets are held as 64-bit shingle hashes. Null, empty and wordless texts have
 empty sets that are linked with nothing. Ids are unique but for repeated rows,
@@ -35,6 +36,8 @@ from starloom.llm.tables import Scratch, id_text, matching, rebatched, received,
 KEYS, MINIMA = 8, 3
 #: A shingle in this share of all documents goes last in the order.
 COMMON = 0.001
+#: Words of a bitmap that an entry of a tile carries at most, a power of two.
+TILE_WORDS = 16
 #: Documents of a task below which a shingle is not called common.
 LEAST_COMMON = 32
 _ODD = np.random.default_rng(7).integers(1, 1 << 62, KEYS * MINIMA, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -76,6 +79,12 @@ FOLDED = """CASE WHEN size({0}) > size({1}) THEN zip_with(slice({0}, 1, size({1}
 ONLY = "aggregate(zip_with({0}, {1}, (x, y) -> bit_count(x & ~y)), 0, (s, x) -> s + x)"
 
 
+def narrowed(bitmap: str) -> str:
+    """The bitmap folded to at most ``TILE_WORDS``: halves are laid over each other until it fits."""
+    return f"""CASE WHEN size({bitmap}) <= {TILE_WORDS} THEN {bitmap} ELSE transform(sequence(1, {TILE_WORDS}),
+        i -> aggregate(sequence(i, size({bitmap}), {TILE_WORDS}), 0L, (s, j) -> s | element_at({bitmap}, j))) END"""
+
+
 def overlap_bound() -> str:
     a, b = FOLDED.format("bitmap_a", "bitmap_b"), FOLDED.format("bitmap_b", "bitmap_a")
     return f"least(n_a - {ONLY.format(a, b)}, n_b - {ONLY.format(b, a)})"
@@ -208,31 +217,42 @@ def _starred(reps: DataFrame) -> DataFrame:
     return keyed.join(first, "key").groupBy(F.col("doc_id").alias("a")).agg(F.min("b").alias("b")).where("b < a")
 
 
-def _tiled(reps: DataFrame, maps: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+def _tiled(reps: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     """Pairs of different components that share a tile and pass the bounds.
 
-    ``reps`` has ``comp``, the component as (size, id), so that the largest one
-    of a tile is its maximum. Of a pair, the smaller set needs a shorter
-    prefix; the places of the shared shingle bound what can be shared beside it.
+    ``reps`` has ``comp``, the component, and ``weight``, a number of it that
+    grows with its size, so that the largest one of a tile is its maximum. Of a
+    pair, the smaller set needs a shorter prefix; the places of the shared
+    shingle bound what can be shared beside it. Tiles carry bitmaps folded to
+    ``TILE_WORDS``; pairs of sets with wider ones are bounded by these after it.
     """
-    entries = reps.select("doc_id", "n", "comp", F.posexplode("prefix").alias("at", "token"))
-    tiles = entries.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high")
+    tiles = reps.select("weight", F.explode("prefix").alias("token")).groupBy("token").agg(
+        F.min("weight").alias("low"), F.max("weight").alias("high")).where("low <> high").select("token", "high")
+    tiles = scratch.store(tiles, "tokens")
     band = F.floor(F.log(F.col("n").cast("double")) / F.lit(log(100 / percent))).cast("int")
-    entries = scratch.store(entries.join(tiles, "token").select(
-        "token", "at", "doc_id", "n", F.col("comp.id").alias("comp"), (F.col("comp") == F.col("high")).alias("main"),
-        band.alias("band")).join(maps, "doc_id"), "tiles")
+    sets = reps.select("doc_id", "n", "comp", "weight", band.alias("band"), F.expr(narrowed("bitmap")).alias("bitmap"))
+    entries = reps.select("doc_id", F.posexplode("prefix").alias("at", "token")).join(tiles, "token").join(sets, "doc_id")
+    entries = scratch.store(entries.withColumn("main", F.col("weight") == F.col("high")).drop("weight", "high"), "tiles")
     columns = [c for c in entries.columns if c != "token"]
     large = entries.select("token", *[F.col(c).alias(f"{c}_a") for c in columns])
     small = entries.where(f"at <= n - CAST(ceil({2 * percent} * n / {100 + percent}) AS INT)").select(
         "token", *[F.col(c).alias(f"{c}_b") for c in columns])
     wanted = f"{percent} * (n_a + n_b)"
+    enough = f"{100 + percent} * {overlap_bound()} >= {wanted}"
     passes = F.expr(f"""comp_a <> comp_b AND band_a - band_b BETWEEN 0 AND 1 AND (n_a > n_b OR (n_a = n_b AND doc_id_a > doc_id_b))
         AND 100 * n_b >= {percent} * n_a
         AND {100 + percent} * (least(at_a, at_b) + 1 + least(n_a - at_a, n_b - at_b) - 1) >= {wanted}
-        AND {100 + percent} * {overlap_bound()} >= {wanted}""")
+        AND {enough}""")
     met = [large.where(x).join(small.where(y), "token").where(passes).select(
-        F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b")) for x, y in (("NOT main_a", "true"), ("main_a", "NOT main_b"))]
-    return met[0].unionAll(met[1]).distinct()
+        F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b"), "n_a", "n_b") for x, y in (("NOT main_a", "true"), ("main_a", "NOT main_b"))]
+    met = scratch.store(met[0].unionAll(met[1]).distinct(), "met")
+    scratch.drop(entries)
+    wide = f"n_a > {64 * TILE_WORDS}"
+    maps = reps.where(f"n > {32 * TILE_WORDS}")
+    bounded = met.where(wide)
+    for side in "ab":
+        bounded = bounded.join(maps.select(F.col("doc_id").alias(side), F.col("bitmap").alias(f"bitmap_{side}")), side)
+    return met.where(f"NOT {wide}").select("a", "b").unionAll(bounded.where(enough).select("a", "b"))
 
 
 def similar_groups(docs: DataFrame, k: int = 4, percent: int = 85, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -251,12 +271,19 @@ def similar_groups(docs: DataFrame, k: int = 4, percent: int = 85, id_column: st
     size = first.groupBy("component").agg(F.count("*").alias("members"))
     sized = first.join(size, "component").select(F.col("id").alias("doc_id"), "component", "members").unionAll(
         size.select(F.col("component").alias("doc_id"), "component", "members"))
-    ranked = reps.select("doc_id", "n", "prefix").join(sized, "doc_id", "left").select("doc_id", "n", "prefix", F.struct(
-        F.coalesce("members", F.lit(0)).alias("members"), F.coalesce("component", "doc_id").alias("id")).alias("comp"))
-    tiled = scratch.store(_tiled(ranked, reps.select("doc_id", "bitmap"), percent, scratch), "tiled")
+    comp = F.coalesce("component", "doc_id")
+    # the size's power of two, then 57 bits of a hash of the id
+    weight = F.shiftleft(F.floor(F.log2(F.coalesce("members", F.lit(1)))), 57).bitwiseOR(F.shiftrightunsigned(F.xxhash64(comp), 7))
+    ranked = reps.select("doc_id", "n", "prefix", "bitmap").join(sized, "doc_id", "left").select(
+        "doc_id", "n", "prefix", "bitmap", comp.alias("comp"), weight.alias("weight"))
+    ranked = scratch.store(ranked, "ranked")
+    sizes = scratch.store(profiles.select("doc_id", "n", "s1", "s2"), "sizes")
+    scratch.drop(profiles, stars)
+    tiled = scratch.store(_tiled(ranked, percent, scratch), "tiled")
+    scratch.drop(ranked)
     final = components(links.unionAll(verified(tiled, docs, k, percent)))
     named = classes.join(final.withColumnRenamed("id", "rep"), "rep", "left").select(
         "s1", "s2", F.coalesce("component", "rep").alias("component"))
-    return profiles.select("doc_id", "n", "s1", "s2").join(named, ["s1", "s2"], "left").select(
+    return sizes.join(named, ["s1", "s2"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("component")).otherwise(F.col("doc_id")).alias("component_id"))
