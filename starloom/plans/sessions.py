@@ -206,26 +206,26 @@ def event_stream(spark, folder):
     return tables.session_columns(stream)
 
 
-def run_stateful(spark, folder, processor, schema, label, time_mode="None"):
+def run_stateful(spark, folder, processor, schema, label, keys, time_mode="None"):
     out, state = scratch_path(spark, label), scratch_path(spark, f"{label}-state")
     result = jobs.with_state(event_stream(spark, folder), processor, schema, time_mode)
     jobs.drain(jobs.store_updates(result, out, state))
-    return spark.read.option("basePath", out).parquet(f"{out}/batch=*").drop("batch")
+    return jobs.latest_updates(spark, out, keys)
 
 
 @query("i6_sliding_limit_stream")
 def _(spark, folder):
-    return run_stateful(spark, folder, jobs.SlidingLimit(LIMIT, DAY), "event_id bigint, session_id bigint, allowed boolean", "limit")
+    return run_stateful(spark, folder, jobs.SlidingLimit(LIMIT, DAY), "event_id bigint, session_id bigint, allowed boolean", "limit", ["event_id"])
 
 
 @query("i12_answered_once_stream", ORACLES["i12_answered_once"])
 def _(spark, folder):
-    return run_stateful(spark, folder, jobs.AnswerOnce(DAY), "event_id bigint, session_id bigint, answered boolean", "answers")
+    return run_stateful(spark, folder, jobs.AnswerOnce(DAY), "event_id bigint, session_id bigint, answered boolean", "answers", ["event_id"])
 
 
 @query("i11_live_session_stream", "SELECT session_id, count(*) AS events FROM sessions GROUP BY session_id", "sessions")
 def _(spark, folder):
-    return run_stateful(spark, folder, jobs.LiveSession(3600), "session_id bigint, events bigint", "live", "ProcessingTime")
+    return run_stateful(spark, folder, jobs.LiveSession(3600), "session_id bigint, events bigint", "live", ["session_id"], "ProcessingTime")
 
 
 @query("i15_running_item_stats", """
@@ -234,6 +234,6 @@ FROM sessions GROUP BY ALL
 """, "sessions")
 def _(spark, folder):
     out, state = scratch_path(spark, "stats"), scratch_path(spark, "stats-state")
-    jobs.drain(jobs.store_updates(jobs.running_item_stats(event_stream(spark, folder)), out, state))
-    stats = jobs.latest_updates(spark, out, ["window_start", "item_id"])
+    jobs.drain(jobs.store_sums(event_stream(spark, folder), out, state))
+    stats = jobs.added_sums(spark, out)
     return stats.withColumn("window_start", F.unix_seconds("window_start"))

@@ -17,12 +17,12 @@ STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreP
 
 
 def read_events(spark: SparkSession, folder: str, name: str, schema: StructType, files_per_batch: int = 100) -> DataFrame:
-    """A stream over the Parquet files of one table."""
+    """A stream over the Parquet files of one table, which is a file or a folder of files."""
+    # a pattern that fits this name only: streams take a single file by a pattern alone
     return (
         spark.readStream.schema(schema)
-        .option("pathGlobFilter", name)
         .option("maxFilesPerTrigger", files_per_batch)
-        .parquet(folder)
+        .parquet(f"{folder}/[{name[0]}]{name[1:]}")
     )
 
 
@@ -57,6 +57,29 @@ def store_updates(stats: DataFrame, folder: str, checkpoint: str):
     return stats.writeStream.outputMode("update").foreachBatch(save).option("checkpointLocation", checkpoint)
 
 
+def store_sums(ratings: DataFrame, folder: str, checkpoint: str, window: str = "1 day"):
+    """Writes each batch's own counts and sums per item and time window under its batch id.
+
+    Sums of batches add up in any order, so no row is ever too late.
+    """
+
+    def save(batch: DataFrame, batch_id: int) -> None:
+        timed = batch.withColumn("ts", F.col("ts").cast("timestamp"))
+        sums = timed.groupBy(F.window("ts", window), "item_id").agg(
+            F.count("*").alias("rating_count"), F.sum("rating").alias("rating_sum"))
+        sums = sums.select(F.col("window.start").alias("window_start"), "item_id", "rating_count", "rating_sum")
+        sums.write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")
+
+    return ratings.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint)
+
+
+def added_sums(spark: SparkSession, folder: str) -> DataFrame:
+    """The sums of all batches of ``store_sums``."""
+    stored = spark.read.option("basePath", folder).parquet(f"{folder}/batch=*")
+    return stored.groupBy("window_start", "item_id").agg(
+        F.sum("rating_count").alias("rating_count"), F.sum("rating_sum").alias("rating_sum"))
+
+
 def latest_updates(spark: SparkSession, folder: str, keys: list[str]) -> DataFrame:
     """The last stored row per key."""
     updates = spark.read.option("basePath", folder).parquet(f"{folder}/batch=*")
