@@ -117,6 +117,12 @@ def _cell_rows(left: DataFrame, right: DataFrame, ll: Layout, rl: Layout, mirror
     return rows.select("p", "q", "slice", "kind", "l_ids", "l_vals", "r_ids", "r_vals")
 
 
+def _present_rows(left: DataFrame, right: DataFrame, ll: Layout, rl: Layout, mirror: bool) -> DataFrame:
+    """A dimension that all ids share with the value 0, so that every pair of ids has a score."""
+    present = lambda df: df.select("id").distinct().withColumns({"dim": F.lit(0), "val": F.lit(0.0)})
+    return _cell_rows(present(left), present(right), ll, rl, mirror)
+
+
 def _run(rows: DataFrame, kernel, schema: str, ll: Layout, rl: Layout, mirror: bool) -> DataFrame:
     """One partition per block pair and slice, rows in kernel order."""
     p, q = F.col("p"), F.col("q")
@@ -145,8 +151,8 @@ def nearest(
     Without ``right`` the left vectors are compared with each other and an id
     is never its own neighbour. ``min_score`` (0 if not given) is exclusive.
     ``exclude`` lists ``(id, other)`` pairs to leave out. Ties go to the
-    smaller id. Below a ``min_score`` of 0 every pair must share a dimension,
-    as dense features do.
+    smaller id. Below a ``min_score`` of 0 every pair of ids counts, with a
+    score of 0 where the two share no dimension.
     """
     same = right is None
     # without exclusions one product serves both directions of a block pair
@@ -154,6 +160,9 @@ def nearest(
     ll = plan_layout(left, hot_rows, block_ids)
     rl = ll if same else plan_layout(right, hot_rows, block_ids)
     rows = _cell_rows(left, left if same else right, ll, rl, mirror)
+    floor = 0.0 if min_score is None else min_score
+    if floor < 0:
+        rows = rows.unionByName(_present_rows(left, left if same else right, ll, rl, mirror))
     if exclude is not None:
         pairs = rl.assign(ll.assign(exclude.select("id", "other"), "id", "p"), "other", "q")
         empty = F.array().cast("array<double>")
@@ -162,7 +171,6 @@ def nearest(
             F.array("id").alias("l_ids"), empty.alias("l_vals"), "r_ids", empty.alias("r_vals"),
         )
         rows = rows.unionByName(skip)
-    floor = 0.0 if min_score is None else min_score
     l_blocks, r_blocks = ll.blocks, rl.blocks
 
     def kernel(batches):
@@ -359,9 +367,9 @@ def _top_kernel(batches, same, mirror, k, floor, l_blocks, r_blocks):
             row = block.left.get(left)
             cols = [block.right[o] for o in others.tolist() if o in block.right]
             if row is not None and cols:
-                block.acc[row, cols] = 0.0 if hot else -np.inf
+                block.acc[row, cols] = -np.inf
         if same:
-            block.drop_self(0.0 if hot else -np.inf)
+            block.drop_self(-np.inf)
         left, right = block.ids()
         sides = [(left, right, block.scores())]
         if mirror and key[0] != key[1]:
@@ -369,7 +377,7 @@ def _top_kernel(batches, same, mirror, k, floor, l_blocks, r_blocks):
         for side in sides:
             if not side[2].size:
                 continue
-            yield _partial_sums(*side) if hot else _best(*side, k, floor)
+            yield _partial_sums(*side, floor) if hot else _best(*side, k, floor)
 
     for run_key, kind, (l, l_vals, r, r_vals) in _runs(batches):
         if run_key != key:
@@ -392,8 +400,9 @@ def _batch(ids, others, scores, partial):
     )
 
 
-def _partial_sums(left, right, scores):
-    rows, cols = np.nonzero(scores)
+def _partial_sums(left, right, scores, floor):
+    """Cells of one slice; zero ones count only where the sum may be zero or less."""
+    rows, cols = np.nonzero((scores > -np.inf) & ((scores != 0) | (floor < 0)))
     return _batch(left[rows], right[cols], scores[rows, cols], True)
 
 

@@ -27,6 +27,9 @@ def query(name: str, oracle: str | None = None, *needs: str):
 # scaled-down thresholds for the thin synthetic catalogue
 POOL, RELAXED, SUFFICIENT, HIGH = 40, 30, 30, 40
 FALLBACK_AVG, FALLBACK_COUNT = 3.3, 30
+SKETCH_ERROR = 0.02
+# every item is rated and every genre has a weight, so these leave something to find
+TOP_RATING, SURE_WEIGHT = 5.0, 0.9
 
 
 def stats_items(spark, folder):
@@ -391,9 +394,13 @@ def _(spark, folder):
     return df.withColumn("percentage", F.round("percentage", 6))
 
 
-@query("c19_approx_users")
+@query("c19_approx_users", "SELECT item_id, count(DISTINCT user_id) AS unique_users, TRUE AS is_close FROM ratings GROUP BY item_id", "ratings")
 def _(spark, folder):
-    return profile.approx_users(tables.ratings(spark, folder))
+    # the sketch against the exact count: five deviations, as every item is judged, or two users where the count is small
+    ratings = tables.ratings(spark, folder)
+    both = profile.approx_users(ratings, SKETCH_ERROR).join(profile.item_stats(ratings).select("item_id", "unique_users"), "item_id")
+    error = F.abs(F.col("approx_users") - F.col("unique_users"))
+    return both.select("item_id", "unique_users", (error <= F.greatest(F.lit(2.0), 5 * SKETCH_ERROR * F.col("unique_users"))).alias("is_close"))
 
 
 # ---- joins, selections, checks
@@ -403,11 +410,11 @@ def _(spark, folder):
     return stats_items(spark, folder).select("item_id", "title", "year", "rating_count", "avg_rating", "rating_std", "unique_users")
 
 
-@query("d3_unrated_items", """
-SELECT i.item_id, i.title FROM items i WHERE NOT EXISTS (SELECT 1 FROM ratings r WHERE r.item_id = i.item_id AND r.rating >= 5)
+@query("d3_unrated_items", f"""
+SELECT i.item_id, i.title FROM items i WHERE NOT EXISTS (SELECT 1 FROM ratings r WHERE r.item_id = i.item_id AND r.rating >= {TOP_RATING})
 """, "items", "ratings")
 def _(spark, folder):
-    liked = tables.ratings(spark, folder).where("rating >= 5")
+    liked = tables.ratings(spark, folder).where(F.col("rating") >= TOP_RATING)
     return profile.orphans(tables.items(spark, folder), liked, "item_id").select("item_id", "title")
 
 
@@ -456,13 +463,13 @@ def _(spark, folder):
     return parts[0].unionByName(parts[1])
 
 
-@query("d12_genre_weight_lookup", """
+@query("d12_genre_weight_lookup", f"""
 SELECT item_id, genre, round(coalesce(importance, 0.5), 6) AS weight
-FROM item_genres LEFT JOIN (SELECT * FROM genre_weights WHERE importance > 0.9) USING (genre)
+FROM item_genres LEFT JOIN (SELECT * FROM genre_weights WHERE importance > {SURE_WEIGHT}) USING (genre)
 """, "item_genres", "genre_weights")
 def _(spark, folder):
     items = tables.items(spark, folder)
-    weights = catalog.genre_importance(items, tables.ratings(spark, folder)).where("importance > 0.9")
+    weights = catalog.genre_importance(items, tables.ratings(spark, folder)).where(F.col("importance") > SURE_WEIGHT)
     return (
         items.select("item_id", F.explode("genres").alias("genre"))
         .join(weights, "genre", "left")

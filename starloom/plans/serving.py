@@ -16,7 +16,7 @@ group = Group()
 query, QUERIES, ORACLES = group.query, group.queries, group.oracles
 
 N = 20
-CF_EXPLAIN, CONTENT_EXPLAIN = 0.1, 0.3
+CF_EXPLAIN, CONTENT_EXPLAIN = 0.3, 0.3
 
 
 def ratings_and_vectors(spark, folder):
@@ -80,7 +80,7 @@ def _(spark, folder):
 
 
 @query("h5_hold_one_out", """
-WITH t AS (SELECT user_id, item_id, rating FROM ratings ORDER BY md5(user_id || '_' || item_id), user_id, item_id LIMIT 1000),
+WITH t AS (SELECT user_id, item_id, rating FROM ratings),
 cf AS (SELECT t.user_id, t.item_id, sum(s.score * r.rating) / sum(s.score) AS raw
   FROM t JOIN ratings r ON r.user_id = t.user_id AND r.item_id <> t.item_id
   JOIN item_sims_ratings s ON s.id = t.item_id AND s.other = r.item_id GROUP BY t.user_id, t.item_id),
@@ -93,8 +93,7 @@ FROM t LEFT JOIN cf ON cf.user_id = t.user_id AND cf.item_id = t.item_id LEFT JO
 """.replace("WITH t AS", "SELECT * FROM (WITH t AS", 1).rstrip() + ")", "ratings", "item_sims_ratings", "content_sims")
 def _(spark, folder):
     ratings, vectors = ratings_and_vectors(spark, folder)
-    targets = materialize(splits.sample_rows(ratings, 1000), "sample")
-    out = hybrid.both_predictions(targets, ratings, vectors)
+    out = hybrid.both_predictions(ratings, ratings, vectors)
     return rounded(out.select("user_id", "item_id", "rating", "collaborative", "content"), "collaborative", "content")
 
 
@@ -214,13 +213,15 @@ def _(spark, folder):
 
 
 def names_cte(name: str, lists: str, history: str, sims: str, m: int, min_score: float) -> None:
+    # the few pairs of a list entry and a rated item come first, then their similarity
+    cte(f"{name}_asked", f"SELECT l.user_id, l.item_id, r.item_id AS other FROM {lists} l JOIN {history} r ON r.user_id = l.user_id", lists, history)
     cte(name, f"""
 SELECT user_id, item_id, count(*) AS n, list(title ORDER BY place) AS names FROM (
-  SELECT l.user_id, l.item_id, i.title, row_number() OVER (PARTITION BY l.user_id, l.item_id ORDER BY round(s.score, 9) DESC, s.other) AS place
-  FROM {lists} l JOIN {sims} s ON s.id = l.item_id AND s.score > {min_score} JOIN {history} r ON r.user_id = l.user_id AND r.item_id = s.other
-  JOIN items i ON i.item_id = s.other)
+  SELECT a.user_id, a.item_id, i.title, row_number() OVER (PARTITION BY a.user_id, a.item_id ORDER BY round(s.score, 9) DESC, s.other) AS place
+  FROM {name}_asked a JOIN {sims} s ON s.id = a.item_id AND s.other = a.other AND s.score > {min_score}
+  JOIN items i ON i.item_id = a.other)
 WHERE place <= {m} GROUP BY user_id, item_id
-""", lists, history, sims, "items")
+""", f"{name}_asked", sims, "items")
 
 
 cte("liked", "SELECT * FROM ratings WHERE rating >= 4", "ratings")
@@ -272,7 +273,25 @@ def _(spark, folder):
     return out.select("user_id", "item_id", "explanation")
 
 
-@query("h14_diversified_lists")
+@query("h14_diversified_lists", """
+SELECT * FROM (WITH RECURSIVE e AS (
+  SELECT l.*, round(l.predicted * l.confidence, 9) AS worth, i.genres FROM cf_lists l LEFT JOIN items i USING (item_id)),
+g AS (SELECT user_id, genre, min(rank * 1000 + place) AS first_at, list(item_id ORDER BY worth DESC, rank) AS members
+  FROM (SELECT user_id, item_id, worth, rank, unnest(genres) AS genre, generate_subscripts(genres, 1) AS place FROM e) GROUP BY user_id, genre),
+o AS (SELECT user_id, members, row_number() OVER (PARTITION BY user_id ORDER BY first_at) AS step, count(*) OVER (PARTITION BY user_id) AS n_genres FROM g),
+u AS (SELECT user_id, count(*) AS n, list(item_id ORDER BY worth DESC, rank) AS by_worth FROM e GROUP BY user_id),
+walk AS (
+  SELECT user_id, CAST(0 AS BIGINT) AS step, CAST([] AS BIGINT[]) AS picked FROM u WHERE n > 5 AND user_id IN (SELECT user_id FROM o)
+  UNION ALL
+  SELECT w.user_id, w.step + 1, list_concat(w.picked,
+    list_slice(list_filter(o.members, lambda x: NOT list_contains(w.picked, x)), 1, greatest(2, u.n // o.n_genres)))
+  FROM walk w JOIN o ON o.user_id = w.user_id AND o.step = w.step + 1 JOIN u ON u.user_id = w.user_id),
+done AS (SELECT user_id, max_by(picked, step) AS picked FROM walk GROUP BY user_id),
+whole AS (SELECT user_id, list_concat(picked, list_filter(by_worth, lambda x: NOT list_contains(picked, x))) AS ids FROM done JOIN u USING (user_id)),
+placed AS (SELECT user_id, unnest(ids) AS item_id, generate_subscripts(ids, 1) AS place FROM whole)
+SELECT l.user_id, l.item_id, round(l.predicted, 6) AS predicted, round(l.confidence, 6) AS confidence, CAST(coalesce(p.place, l.rank) AS INTEGER) AS rank
+FROM cf_lists l LEFT JOIN placed p ON p.user_id = l.user_id AND p.item_id = l.item_id)
+""", "cf_lists", "items")
 def _(spark, folder):
     ratings = materialize(tables.ratings(spark, folder), "ratings")
     lists = serving.collaborative_lists(ratings, N)

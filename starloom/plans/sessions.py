@@ -116,7 +116,19 @@ def _(spark, folder):
     return ops.consecutive_ids(latest(spark, folder))
 
 
-@query("i6_sliding_limit")
+KEPT = f"list_filter(w.log, lambda t: t >= e.micros - {DAY * 1_000_000})"
+
+
+@query("i6_sliding_limit", f"""
+SELECT * FROM (WITH RECURSIVE e AS (
+  SELECT event_id, session_id, epoch_us(ts) AS micros, row_number() OVER (PARTITION BY session_id ORDER BY ts, event_id) AS step FROM sessions),
+walk AS (
+  SELECT event_id, session_id, step, [micros] AS log, TRUE AS allowed FROM e WHERE step = 1
+  UNION ALL
+  SELECT e.event_id, e.session_id, e.step, CASE WHEN len({KEPT}) < {LIMIT} THEN list_append({KEPT}, e.micros) ELSE {KEPT} END, len({KEPT}) < {LIMIT}
+  FROM walk w JOIN e ON e.session_id = w.session_id AND e.step = w.step + 1)
+SELECT event_id, session_id, allowed FROM walk)
+""", "sessions")
 def _(spark, folder):
     return ops.sliding_limit(requests(spark, folder), LIMIT, DAY)
 
@@ -213,7 +225,7 @@ def run_stateful(spark, folder, processor, schema, label, keys, time_mode="None"
     return jobs.latest_updates(spark, out, keys)
 
 
-@query("i6_sliding_limit_stream")
+@query("i6_sliding_limit_stream", ORACLES["i6_sliding_limit"])
 def _(spark, folder):
     return run_stateful(spark, folder, jobs.SlidingLimit(LIMIT, DAY), "event_id bigint, session_id bigint, allowed boolean", "limit", ["event_id"])
 

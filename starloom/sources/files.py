@@ -48,9 +48,8 @@ def read_records(spark: SparkSession, paths: list[str], schema: StructType, one_
     return first_existing(paths, lambda p: read.json(p, multiLine=one_array))
 
 
-def export_catalogue(items: DataFrame, path: str) -> None:
-    """Cleaned items as JSON lines under the exported names."""
-    items.select(
+def _catalogue(items: DataFrame) -> DataFrame:
+    return items.select(
         F.col("item_id").alias("MovieID"),
         F.col("title").alias("Title"),
         F.col("genres_text").alias("Genres"),
@@ -58,7 +57,21 @@ def export_catalogue(items: DataFrame, path: str) -> None:
         F.col("clean_title").alias("CleanTitle"),
         F.col("genres").alias("GenreList"),
         F.col("web_title").alias("WebTitle"),
-    ).write.json(path)
+    )
+
+
+def export_catalogue(items: DataFrame, path: str) -> None:
+    """Cleaned items as JSON lines under the exported names."""
+    _catalogue(items).write.json(path)
+
+
+def export_arrays(items: DataFrame, path: str, per_file: int = 5000) -> None:
+    """Cleaned items as files that hold one JSON array of about ``per_file`` records each."""
+    n = max(1, -(-items.count() // per_file))
+    records = _catalogue(items)
+    record = F.struct(*records.columns)
+    arrays = records.groupBy(F.pmod(F.xxhash64("MovieID"), F.lit(n)).alias("part")).agg(F.to_json(F.collect_list(record)).alias("value"))
+    arrays.write.partitionBy("part").text(path)
 
 
 def export_ratings(ratings: DataFrame, path: str) -> None:

@@ -105,6 +105,25 @@ def test_two_sides_with_exclusions(spark, ratings, dense, options):
         assert [o for _, o, _ in sorted(got[u + 1])] == [100 + j for j in order]
 
 
+@pytest.mark.parametrize("options", CASES)
+@pytest.mark.parametrize("k", [None, 2])
+def test_zero_and_negative_scores_are_kept(spark, k, options):
+    rows = [(1, 1, 1.0), (1, 2, 1.0), (2, 1, -1.0), (2, 2, 1.0), (3, 1, -1.0), (4, 3, 2.0)]
+    options = dict(options, hot_rows=1) if options["hot_rows"] == 12 else options
+    vectors = spark.createDataFrame(rows, "id bigint, dim bigint, val double")
+    skip = spark.createDataFrame([(1, 2)], "id bigint, other bigint")
+    table = np.zeros((5, 4))
+    for i, d, v in rows:
+        table[i, d] = v
+    for exclude, left_out in ((None, set()), (skip, {(1, 2)})):
+        found = blocks.nearest(vectors, k=k, min_score=-math.inf, exclude=exclude, **options)
+        want = {}
+        for a in range(1, 5):
+            scored = [(-float(table[a] @ table[b]), b) for b in range(1, 5) if a != b and (a, b) not in left_out]
+            want |= {(a, b): -s for s, b in sorted(scored)[:k]}
+        assert {(r["id"], r["other"]): r["score"] for r in found.collect()} == want
+
+
 def test_dense_and_sparse_products_agree(monkeypatch, ratings):
     plain = sorted(map(tuple, cf.similar(ratings, "item_id", 0.0).collect()))
     product = blocks._Product
