@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from starloom.llm import words as W
-from starloom.llm.tables import rebatched, received, send
+from starloom.llm.tables import BROADCAST_IDS, rebatched, received, send, stored
 
 #: Longest word the automata take; bit vectors have 64 bits and sums of powers stay exact.
 MAX_LENGTH = 40
@@ -300,15 +300,19 @@ def train(docs: DataFrame, labels: DataFrame, fit_rows: int = 100_000, max_terms
     """Learns from ``docs`` (``doc_id``, ``text``) with ``labels`` (``doc_id``, ``toxic``).
 
     The lexicon is counted over all labelled rows. The regression is fitted to
-    a sample of at most ``fit_rows`` of them, drawn by a hash of the id.
+    a sample of at most ``fit_rows`` of them, drawn by a hash of the id. Up to
+    ``BROADCAST_IDS`` labels are sent to the texts, which then stay where they
+    are; of more, texts and labels are shuffled together once.
     """
     marks = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).where("toxic IN (0, 1)").dropDuplicates(["doc_id"])
-    rows = docs.where("text IS NOT NULL").join(marks, "doc_id")
-    lexicon = learn_lexicon(rows.select("text", "toxic"), max_terms)
     total = marks.count()
+    texts = docs.where("text IS NOT NULL")
+    rows = texts.join(F.broadcast(marks), "doc_id") if total <= BROADCAST_IDS else stored(texts.join(marks, "doc_id"), "labelled")
+    lexicon = learn_lexicon(rows.select("text", "toxic"), max_terms)
     share = min(1.0, 0.8 * fit_rows / max(1, total))
-    sample = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000)).limit(fit_rows)
-    found = _feature_rows(sample.select("toxic", "text"), lexicon).toArrow()
+    sample = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
+    # the bound is put on the narrow feature rows, as it gathers them in one task
+    found = _feature_rows(sample.select("toxic", "text"), lexicon).limit(fit_rows).toArrow()
     features = np.array(found["features"].to_pylist(), np.float64).reshape(-1, len(FEATURES))
     return fit(lexicon, features, found["toxic"].to_numpy().astype(np.float64))
 
