@@ -283,7 +283,7 @@ def test_automata_find_one_error():
     assert found == {w: d for w, d in near.items() if d is not None}
 
 
-def test_toxicity(spark, empty):
+def test_toxicity(spark, empty, monkeypatch):
     rng = random.Random(4)
     plain = ["river", "stone", "cloud", "green", "walk", "table"]
     rows = [(i, " ".join(rng.choice(plain + (["idiot", "moron"] if i % 4 == 0 else [])) for _ in range(40)), int(i % 4 == 0)) for i in range(200)]
@@ -293,6 +293,9 @@ def test_toxicity(spark, empty):
     found = {r.doc_id: r for r in toxicity.score(spark.createDataFrame(test, "doc_id bigint, text string"), model).collect()}
     assert [found[i].predicted for i in (1, 2, 3, 4)] == [1, 0, 0, 0]
     assert found[5].score < found[1].score and all(0 <= r.score <= 1 for r in found.values())
+    monkeypatch.setattr(toxicity, "BROADCAST_IDS", 10)  # texts and labels are shuffled together
+    shuffled = toxicity.train(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"))
+    assert shuffled.lexicon.terms == model.lexicon.terms and np.allclose(shuffled.coefficients, model.coefficients)
     none = toxicity.train(empty.select("doc_id", "text"), spark.createDataFrame([], "doc_id bigint, toxic int"))
     assert toxicity.score(empty.select("doc_id", "text"), none).count() == 0
 
