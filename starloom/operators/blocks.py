@@ -214,6 +214,7 @@ def weighted_scores(
     targets: DataFrame,
     hot_rows: int = HOT_ROWS,
     block_ids: int = BLOCK_IDS,
+    positive: bool = False,
 ) -> DataFrame:
     """``(user_id, item_id, num, den)`` for every target with a similar rated item.
 
@@ -221,11 +222,18 @@ def weighted_scores(
     absolute similarities over the user's whole ``history(user_id, item_id,
     rating)``, the target itself left out. The similarities exist only inside
     the block tasks. Hot slices need non-negative vectors, as ratings are.
+    With ``positive`` only similarities above zero (by more than rounding)
+    count; the sign needs the whole product, so no id is sliced then: signed
+    vectors have features as dimensions, whose number the vocabulary bounds.
     """
-    layout = plan_layout(vectors, hot_rows, block_ids)
+    layout = plan_layout(vectors, sys.maxsize if positive else hot_rows, block_ids)
     rows = _request_rows(vectors, history, targets, layout)
     schema = "user_id bigint, item_id bigint, num double, den double"
-    parts = _run(rows, _score_kernel, schema, layout, layout, True)
+
+    def kernel(batches):
+        return _score_kernel(batches, positive)
+
+    parts = _run(rows, kernel, schema, layout, layout, True)
     return parts.groupBy("user_id", "item_id").agg(F.sum("num").alias("num"), F.sum("den").alias("den"))
 
 
@@ -462,9 +470,11 @@ def _chunks(rows, names, size=50_000):
         yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], names)
 
 
-def _score_kernel(batches):
+def _score_kernel(batches, positive=False):
     def rows():
         for _, user, targets, _, values, sims in _asked(batches):
+            if positive:
+                sims = np.where(sims > 1e-9, sims, 0.0)
             num, den = sims @ values, np.abs(sims).sum(axis=1)
             yield [(user, t, n, d) for t, n, d in zip(targets, num.tolist(), den.tolist()) if d > 0]
 

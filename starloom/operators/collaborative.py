@@ -92,6 +92,12 @@ def predict_by_all_items(targets: DataFrame, train: DataFrame, default: float =
     return _filled(targets, scored.withColumn("raw", F.col("num") / F.col("den")), F.lit(default))
 
 
+def predict_by_positive(targets: DataFrame, units: DataFrame, train: DataFrame, default: float = 3.0, **options) -> DataFrame:
+    """Weighted mean over the rated items with a positive similarity, for unit vectors of any sign."""
+    scored = blocks.weighted_scores(units, train, targets, positive=True, **options)
+    return _filled(targets, scored.withColumn("raw", F.col("num") / F.col("den")), F.lit(default))
+
+
 def aligned(cells: DataFrame, train: DataFrame, test: DataFrame) -> DataFrame:
     """Train and test rating of every cell of the full table, 0 where absent."""
     keys = ["user_id", "item_id"]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from starloom.operators import catalog, collaborative as cf, content, evaluation, hybrid, serving, splits
+from starloom.operators import blocks, catalog, collaborative as cf, content, evaluation, hybrid, serving, splits
 from starloom.plans.base import Group, rounded
 from starloom.plans.catalogue import FALLBACK_AVG, FALLBACK_COUNT
 from starloom.plans.collaborative import ERRORS, split_ratings
@@ -97,6 +97,22 @@ def _(spark, folder):
     return rounded(out.select("user_id", "item_id", "rating", "collaborative", "content"), "collaborative", "content")
 
 
+@query("f9_positive_predictions", """
+SELECT t.user_id, t.item_id, t.rating, round(coalesce(least(5, greatest(1, raw)), 3.0), 6) AS predicted
+FROM test t LEFT JOIN (
+  SELECT t.user_id, t.item_id, sum(s.score * r.rating) / sum(s.score) AS raw
+  FROM test t JOIN train r ON r.user_id = t.user_id AND r.item_id <> t.item_id
+  JOIN content_sims s ON s.id = t.item_id AND s.other = r.item_id AND s.score > 1e-9
+  GROUP BY t.user_id, t.item_id) p ON p.user_id = t.user_id AND p.item_id = t.item_id
+""", "train", "test", "content_sims")
+def _(spark, folder):
+    train, test = split_ratings(spark, folder)
+    _, vectors = ratings_and_vectors(spark, folder)
+    units = materialize(blocks.unit(content.as_dims(vectors)), "units")
+    out = cf.predict_by_positive(test, units, train)
+    return rounded(out.select("user_id", "item_id", "rating", "predicted"), "predicted")
+
+
 # ---- lists
 
 def collaborative_cte(name: str, source: str, sims: str, n: int) -> None:
