@@ -124,6 +124,23 @@ def test_zero_and_negative_scores_are_kept(spark, k, options):
         assert {(r["id"], r["other"]): r["score"] for r in found.collect()} == want
 
 
+@pytest.mark.parametrize("options", CASES)
+def test_only_positive_similarities_count(spark, options):
+    rng = np.random.default_rng(3)
+    table = rng.normal(size=(12, 6))
+    table /= np.linalg.norm(table, axis=1, keepdims=True)
+    cells = [(i, d, float(table[i, d])) for i in range(12) for d in range(6)]
+    units = spark.createDataFrame(cells, "id bigint, dim bigint, val double")
+    history = [(u, i, float(1 + (u * i) % 5)) for u in range(4) for i in range(12) if (u + i) % 3]
+    ratings = spark.createDataFrame(history, "user_id bigint, item_id bigint, rating double")
+    got = {(r["user_id"], r["item_id"]): r["predicted"] for r in cf.predict_by_positive(ratings, units, ratings, **options).collect()}
+    for user, item, _ in history:
+        near = [(max(0.0, table[item] @ table[j]), r) for u, j, r in history if u == user and j != item]
+        total = sum(s for s, _ in near)
+        want = min(5, max(1, sum(s * r for s, r in near) / total)) if total else 3.0
+        assert math.isclose(got[user, item], want, rel_tol=1e-9)
+
+
 def test_dense_and_sparse_products_agree(monkeypatch, ratings):
     plain = sorted(map(tuple, cf.similar(ratings, "item_id", 0.0).collect()))
     product = blocks._Product

@@ -24,10 +24,10 @@ def lists(spark, rows):
 
 def test_title_parts(spark):
     raw = spark.createDataFrame(
-        [(1, "Toy Story (1995)", "Animation|Children's| Comedy"), (2, 'No "Year"', None)], "item_id bigint, title string, genres_text string"
+        [(1, "Lamp Garden (1995)", "Animation|Children's| Comedy"), (2, 'No "Year"', None)], "item_id bigint, title string, genres_text string"
     )
     a, b = tables.clean_items(raw).orderBy("item_id").collect()
-    assert (a["year"], a["clean_title"], a["genres"]) == (1995, "Toy Story", ["Animation", "Children's", "Comedy"])
+    assert (a["year"], a["clean_title"], a["genres"]) == (1995, "Lamp Garden", ["Animation", "Children's", "Comedy"])
     assert (b["year"], b["genres"], b["web_title"]) == (None, [], "No &quot;Year&quot;")
 
 
@@ -99,6 +99,15 @@ def test_delta(spark):
     assert (b["new_items"], b["removed_items"], b["change_summary"]) == (2, 0, "Initial recommendations generated")
 
 
+def test_updated_explanations(spark):
+    old = lists(spark, [(1, 5, 4.0, 0.5, 1)]).selectExpr("*", "'Because you liked X' AS explanation")
+    existing = spark.createDataFrame([(1, 1, 3.0)], "user_id bigint, item_id bigint, rating double")
+    new = spark.createDataFrame([(1, 2, 5.0)], "user_id bigint, item_id bigint, rating double")
+    row = serving.incremental_update(old, existing, new).first()
+    assert row["explanation"] == "Because you liked X (updated with new preferences)"
+    assert (row["predicted"], row["confidence"]) == (4.25, 0.52)
+
+
 def test_fallback_and_routing(spark):
     ratings = spark.createDataFrame(
         [(1, i, 4.0) for i in range(1, 16)] + [(2, 1, 4.0), (2, 2, 4.0)], "user_id bigint, item_id bigint, rating double"
@@ -136,9 +145,9 @@ def test_diversified_list(spark):
 
 def test_search_rules(spark):
     items = tables.clean_items(spark.createDataFrame(
-        [(1, "Toy Story (1995)", "Animation"), (2, "Heat (1995)", "Action")], "item_id bigint, title string, genres_text string"
+        [(1, "Lamp Garden (1995)", "Animation"), (2, "Frost (1995)", "Action")], "item_id bigint, title string, genres_text string"
     ))
-    assert [r["item_id"] for r in catalog.search(items, query="toy").collect()] == [1]
+    assert [r["item_id"] for r in catalog.search(items, query="lamp").collect()] == [1]
     assert [r["item_id"] for r in catalog.search(items, genre="animation").collect()] == [1]
     assert catalog.search(items, year=1995, limit=1).count() == 1
     with pytest.raises(ValueError):
