@@ -1,9 +1,9 @@
 """Toxicity: a learned lexicon, found also when misspelled, judged in its context.
 
-1. Lexicon. Words of labelled toxic texts are counted by document; the frequent
-   ones are counted in the other labelled texts, and words that speak for
-   toxicity are kept with their log odds (at most ``max_terms``).
-2. Matching. The terms form a trie. Its paths are walked with a Levenshtein
+1. Lexicon. Words of labelled texts are counted by toxic and clean documents,
+   and all words that speak for toxicity are kept with their log odds.
+2. Matching. The terms form a trie (one for each block of ``BLOCK`` terms, walked
+   in turn). Its paths are walked with a Levenshtein
    automaton (one error) of every distinct word of a chunk at once: the states
    of all automata are bit vectors in one array, and words whose automaton has
    died leave the walk.
@@ -36,6 +36,8 @@ MAX_LENGTH = 40
 FUZZY_FROM = 5
 #: Words on either side of a match that are its context.
 WINDOW = 6
+#: Terms of one trie; a larger lexicon is matched block by block.
+BLOCK = 20_000
 #: Words of reporting and of address (fixed lists).
 REPORTING = ("said", "says", "wrote", "writes", "called", "quote", "quoted", "quoting", "term", "word", "insult", "slur",
              "sagte", "schrieb", "zitat", "dit", "écrit", "citation", "dijo", "escribió", "cita")
@@ -122,8 +124,12 @@ FEATURES = ("abuse", "misspelled", "quoted", "strongest", "density")
 
 
 class Matcher:
-    def __init__(self, lexicon: Lexicon):
-        self.lexicon, self.root = lexicon, trie(lexicon.terms)
+    def __init__(self, lexicon: Lexicon, block: int = BLOCK):
+        # neighbours in the alphabet share their paths
+        order = sorted(range(len(lexicon.terms)), key=lexicon.terms.__getitem__)
+        self.blocks = [Lexicon([lexicon.terms[i] for i in order[low:low + block]], lexicon.weight[order[low:low + block]])
+                       for low in range(0, len(order), block)]
+        self.root = trie(self.blocks[0].terms) if len(self.blocks) == 1 else None
         self.reporting, self.address = (_hashes(x) for x in (REPORTING, ADDRESS))
 
     def features(self, texts: pa.Array) -> np.ndarray:
@@ -143,10 +149,12 @@ class Matcher:
         words = [chunk.word(i).decode(errors="replace") for i in first[kept]]
         short = [i for i, w in enumerate(words) if len(w) <= MAX_LENGTH]
         kept, words = kept[short], [words[i] for i in short]
-        for term, same, one_off in intersect(self.root, self.lexicon.terms, words):
-            w = self.lexicon.weight[term]
-            exact[kept[same]] = np.maximum(exact[kept[same]], w)
-            near[kept[one_off]] = np.maximum(near[kept[one_off]], w)
+        for block in self.blocks:
+            # one of several tries is held at a time
+            for term, same, one_off in intersect(self.root or trie(block.terms), block.terms, words):
+                w = block.weight[term]
+                exact[kept[same]] = np.maximum(exact[kept[same]], w)
+                near[kept[one_off]] = np.maximum(near[kept[one_off]], w)
         near[exact > 0] = 0
         weight = (exact + near)[which]
         hits = np.flatnonzero(weight)
@@ -187,63 +195,49 @@ def _document_words(chunk: W.Chunk) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents of each word, summed inside the task."""
-    counts: Counter[bytes] = Counter()
+    """Clean and toxic documents of each word, summed inside the task."""
+    counts: tuple[Counter[bytes], Counter[bytes]] = (Counter(), Counter())
 
     def emit():
-        yield pa.record_batch({"term": pa.array([w.decode(errors="replace") for w in counts], pa.string()),
-                               "n": pa.array(list(counts.values()), pa.int64())})
-        counts.clear()
+        terms = list(counts[0].keys() | counts[1].keys())
+        yield pa.record_batch({"term": pa.array([w.decode(errors="replace") for w in terms], pa.string()),
+                               "good": pa.array([counts[0][w] for w in terms], pa.int64()),
+                               "bad": pa.array([counts[1][w] for w in terms], pa.int64())})
+        for kind in counts:
+            kind.clear()
 
     for batch in rebatched(batches):
+        toxic = batch["toxic"].to_numpy()
         for chunk in W.chunks(folded(batch["text"]), W.alphanumeric()):
-            _, place = _document_words(chunk)
+            row, place = _document_words(chunk)
             long = chunk.ends[place] - chunk.starts[place]
-            counts.update(chunk.word(i) for i in place[(long > 2) & (long <= MAX_LENGTH)])
-            if len(counts) > 200_000:
+            kept = (long > 2) & (long <= MAX_LENGTH)
+            row, place = row[kept], place[kept]
+            marked = toxic[chunk.first + row] == 1
+            for kind, mine in ((0, place[~marked]), (1, place[marked])):
+                counts[kind].update(chunk.word(i) for i in mine)
+            if len(counts[0]) + len(counts[1]) > 200_000:
                 yield from emit()
     yield from emit()
 
 
-def learn_lexicon(rows: DataFrame, max_terms: int = 4000, min_docs: int = 4, min_odds: float = 2.5) -> Lexicon:
+def learn_lexicon(rows: DataFrame, min_docs: int = 4, min_odds: float = 2.5) -> Lexicon:
     """Terms of ``rows`` (``text``, ``toxic``) that speak for toxicity.
 
-    A candidate is in at least ``min_docs`` toxic documents and in a
-    thousandth of them, so there are at most a thousand times as many
-    candidates as a document has words.
+    Every term in at least ``min_docs`` toxic documents whose smoothed log odds
+    reach ``min_odds``: the test depends on the term's counts and the shares of
+    the labels, not on the number of rows. Only the terms that pass it are collected.
     """
-    spark = rows.sparkSession
     totals = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     bad, good = totals.get(1, 0), totals.get(0, 0)
     if not bad or not good:
         return Lexicon([], np.zeros(0))
-    least = max(min_docs, bad // 1000)
-    found = rows.where("toxic = 1").select("text").mapInArrow(_term_counts, "term string, n bigint").groupBy("term").agg(
-        F.sum("n").alias("n")).where(F.col("n") >= least).toArrow()
-    in_bad = dict(zip(found["term"].to_pylist(), found["n"].to_pylist()))
-    held = send(spark, sorted(in_bad))
-
-    def elsewhere(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms = received(held)
-        keys = _hashes(tuple(terms)) if terms else np.zeros(0, np.uint64)
-        order, sums = np.argsort(keys), np.zeros(len(keys), np.int64)
-        for batch in rebatched(batches):
-            for chunk in W.chunks(folded(batch["text"]), W.alphanumeric()):
-                _, place = _document_words(chunk)
-                values = chunk.hashes()[place]
-                at = np.minimum(np.searchsorted(keys[order], values), len(keys) - 1)
-                sums += np.bincount(order[at[keys[order][at] == values]], minlength=len(keys))
-        some = np.flatnonzero(sums)
-        yield pa.record_batch({"term": pa.array([terms[i] for i in some], pa.string()), "n": pa.array(sums[some])})
-
-    in_good = {}
-    if in_bad:
-        found = rows.where("toxic = 0").select("text").mapInArrow(elsewhere, "term string, n bigint").groupBy("term").agg(
-            F.sum("n").alias("n")).toArrow()
-        in_good = dict(zip(found["term"].to_pylist(), found["n"].to_pylist()))
-    odds = {t: float(np.log((n + 0.1) / (bad + 1)) - np.log((in_good.get(t, 0) + 0.3) / (good + 1))) for t, n in in_bad.items()}
-    best = sorted((t for t in odds if odds[t] >= min_odds), key=lambda t: (-odds[t] * in_bad[t] ** 0.5, t))[:max_terms]
-    return Lexicon(best, np.array([odds[t] for t in best]))
+    counts = rows.select("text", "toxic").mapInArrow(_term_counts, "term string, good bigint, bad bigint").groupBy("term").agg(
+        F.sum("good").alias("good"), F.sum("bad").alias("bad")).where(F.col("bad") >= min_docs)
+    odds = F.log((F.col("bad") + 0.1) / (bad + 1)) - F.log((F.col("good") + 0.3) / (good + 1))
+    found = counts.select("term", "bad", odds.alias("odds")).where(F.col("odds") >= min_odds).toArrow().to_pydict()
+    best = sorted(zip(found["term"], found["bad"], found["odds"]), key=lambda t: (-t[2] * t[1] ** 0.5, t[0]))
+    return Lexicon([t for t, _, _ in best], np.array([o for _, _, o in best]))
 
 
 @dataclass
@@ -296,7 +290,7 @@ def _feature_rows(rows: DataFrame, lexicon: Lexicon) -> DataFrame:
     return rows.mapInArrow(run, T.StructType([*kept, T.StructField("features", T.ArrayType(T.DoubleType()))]))
 
 
-def train(docs: DataFrame, labels: DataFrame, fit_rows: int = 100_000, max_terms: int = 4000) -> Model:
+def train(docs: DataFrame, labels: DataFrame, fit_rows: int = 100_000) -> Model:
     """Learns from ``docs`` (``doc_id``, ``text``) with ``labels`` (``doc_id``, ``toxic``).
 
     The lexicon is counted over all labelled rows. The regression is fitted to
@@ -308,7 +302,7 @@ def train(docs: DataFrame, labels: DataFrame, fit_rows: int = 100_000, max_terms
     total = marks.count()
     texts = docs.where("text IS NOT NULL")
     rows = texts.join(F.broadcast(marks), "doc_id") if total <= BROADCAST_IDS else stored(texts.join(marks, "doc_id"), "labelled")
-    lexicon = learn_lexicon(rows.select("text", "toxic"), max_terms)
+    lexicon = learn_lexicon(rows.select("text", "toxic"))
     share = min(1.0, 0.8 * fit_rows / max(1, total))
     sample = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
     # the bound is put on the narrow feature rows, as it gathers them in one task

@@ -300,6 +300,17 @@ def test_toxicity(spark, empty, monkeypatch):
     assert toxicity.score(empty.select("doc_id", "text"), none).count() == 0
 
 
+def test_lexicon_does_not_depend_on_the_number_of_rows(spark):
+    """Terms in four of 6000 toxic documents are learned, however many they are."""
+    rare = [f"rare{i}" for i in range(4100)]
+    row = lambda i: (f"text {'idiot' if i % 2 else 'river'}" + (" " + " ".join(rare) if i in (1, 3, 5, 7) else ""), i % 2)
+    rows = spark.createDataFrame([row(i) for i in range(12_000)], "text string, toxic int")
+    lexicon = toxicity.learn_lexicon(rows)
+    assert set(lexicon.terms) == {"idiot", *rare}
+    texts = pa.array(["rare17 and rare4099", "“rare3” rare40x0", "river", None])
+    assert np.array_equal(toxicity.Matcher(lexicon).features(texts), toxicity.Matcher(lexicon, block=500).features(texts))
+
+
 def test_pipeline(docs, spark):
     import corpus_pipeline
 
