@@ -9,7 +9,8 @@ the workers at once; a larger filter is sent in parts, one pass over the texts
 for each, which keep the levels they found.
 
 The pair probability is mixed with the word's: ``s c2 / c1 + (1 - s) p1``, where
-``s`` is the share of training tokens whose pair is found elsewhere, too.
+``s`` is the share of training tokens whose pair is found elsewhere, too. Pairs
+found once are in the filter like all others.
 
 Beside the model's score there is an exact unigram score. Its counts are not
 quantised: words above a ``HEAVY``-th of all tokens (so at most ``HEAVY`` of
@@ -36,8 +37,6 @@ SEGMENT_BYTES = SEGMENT_BITS // 8
 ENTRY_BITS = 14
 MAX_PART = 128 << 20
 HEAVY = 65_536
-#: Pairs found once are not put into the filter.
-LEAST_PAIRS = 2
 _START, _END = np.uint64(0x2545F4914F6CDD1D), np.uint64(0x9E6C63D0876A9A47)
 _PAIR, _LEVEL = np.uint64(0xD1342543DE82EF95), np.uint64(0xAF251AF3B0F025B5)
 
@@ -168,9 +167,9 @@ def levels(entries: np.ndarray, bits: np.ndarray, low: int, segments: int, into:
     into[here] = out[which][here]
 
 
-def middle(level: np.ndarray, first: int = 1) -> np.ndarray:
-    """Middle of the counts of a level; level one begins at ``first``."""
-    low = first * 2.0 ** (level.astype(np.float64) - 1)
+def middle(level: np.ndarray) -> np.ndarray:
+    """Middle of the counts of a level; level one is a count of one."""
+    low = 2.0 ** (level.astype(np.float64) - 1)
     return np.where(level > 0, (low + 2 * low - 1) / 2, 0.0)
 
 
@@ -222,7 +221,7 @@ def _log_probabilities(words: np.ndarray, bounds: np.ndarray, one: np.ndarray, t
     p1 = (c1 + 0.5) / below
     history = np.concatenate([[0.0], c1[:-1]])
     history[first] = model["documents"]
-    c2 = np.minimum(middle(two, LEAST_PAIRS), np.maximum(history, c1))
+    c2 = np.minimum(middle(two), np.maximum(history, c1))
     share = np.where(history > 0, model["share"], 0.0)
     p = np.log10(share * c2 / np.maximum(np.maximum(history, c2), 1) + (1 - share) * p1)
     at = np.minimum(np.searchsorted(model["heavy"], words), max(0, len(model["heavy"]) - 1))
@@ -277,10 +276,10 @@ def scored(docs: DataFrame, train: str, id_column: str = "doc_id", text_column:
              "share": 0.0, "heavy": heavy["word"].to_numpy().view(np.uint64)[order], "heavy_n": heavy["train_n"].to_numpy()[order]}
     log2 = lambda c: F.floor(F.log2(F.col(c).cast("double")) + F.lit(1e-9)).cast("int")
     seen = Observation("pairs")
-    counts = _pair_counts(docs).observe(seen, F.count("*").alias("distinct"), F.sum("n").alias("all"))
-    found = scratch.store(counts.where(F.col("n") >= LEAST_PAIRS).select("entry", log2("n").alias("level")), "pairs")
+    counts = _pair_counts(docs).observe(seen, F.count_if(F.col("n") == 1).alias("once"), F.sum("n").alias("all"))
+    found = scratch.store(counts.select("entry", (log2("n") + 1).alias("level")), "pairs")
     if seen.get["all"]:
-        model["share"] = min(0.95, 1 - seen.get["distinct"] / seen.get["all"])
+        model["share"] = min(0.95, 1 - seen.get["once"] / seen.get["all"])
     entries = words.where("train_n > 0").select(F.col("word").alias("entry"), (log2("train_n") + 1).alias("level")).unionAll(found)
     weight = entries.agg(F.sum("level")).first()[0] or 0
     segments = max(1, -(-weight * ENTRY_BITS // SEGMENT_BITS))

@@ -171,6 +171,15 @@ def test_likelihood(docs, empty):
     assert lm_scoring.scored(empty, "true").count() == 0
 
 
+def test_pairs_found_once_count(spark):
+    """Of two texts of the same words, the one whose pairs were found once is likelier."""
+    train = [(i, f"left{i} right{i}") for i in range(20)] + [(20 + i, "the cat sat") for i in range(20)]
+    rows = [*train, *((100 + i, f"left{i} right{i}") for i in range(20)), *((200 + i, f"left{i} right{(i + 1) % 20}") for i in range(20))]
+    found = {r.doc_id: r for r in lm_scoring.scored(spark.createDataFrame(rows, "doc_id bigint, text string"), "doc_id < 100").collect()}
+    assert sum(found[100 + i].score > found[200 + i].score + 0.1 for i in range(20)) >= 18
+    assert all(found[100 + i].base_score == pytest.approx(found[200 + i].base_score) for i in range(20))
+
+
 def test_filter_levels():
     entries = np.arange(1, 2000, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     wanted = (np.arange(len(entries)) % 5).astype(np.uint8)
