@@ -3,8 +3,10 @@
 Candidate strings are runs of key-like characters. Inside each, runs of one
 character class are scanned with a window whose Shannon entropy is kept up to
 date by its character counts: one character enters, one leaves. Windows above
-the class's threshold are joined to spans; an allow-list drops known harmless
-strings. Spans of the fixed patterns are never dropped.
+the class's threshold are joined to spans; what earlier spans hold already is
+cut out of them. Placeholders are cut out of a candidate before, and an
+allow-list drops what is left if all of it has a known harmless form. Spans of
+the fixed patterns are never dropped.
 
 Null and empty texts have no spans. Repeated rows each get their own result;
 columns other than the id and the text are ignored.
@@ -45,10 +47,11 @@ CLASSES = (
     CharClass("entropy_hex", r"[0-9A-Fa-f]{20,}", 20, 3.1),
 )
 KINDS = ("assign", "access", "hex", *(c.kind for c in CLASSES))
-#: Strings that look random but are none: ids in canonical form, alphabets, paths and slugs of plain words, dates.
+#: Parts of sample keys and alphabets: no window reaches into them, the rest of the string is scanned.
+PLACEHOLDER = re.compile(r"abcdefghij|0123456789|qwertyuiop|example|x{6,}", re.IGNORECASE | re.ASCII)
+#: Strings that look random but are none: ids in canonical form, paths and slugs of plain words, dates.
 ALLOW = (
     r"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}",
-    r"(?i).*(abcdefghij|0123456789|qwertyuiop|example|xxxxxx).*",
     r"[A-Za-z]*([/_=-]+[A-Za-z]*)*[/_=-]?[0-9]{0,8}",
     r"[0-9/_=-]+",
 )
@@ -79,6 +82,18 @@ def window_entropy_spans(text: str, width: int, bits: float) -> list[tuple[int,
     return spans
 
 
+def pieces(start: int, end: int, gaps: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """What the ``gaps`` leave of the range from ``start`` to ``end``."""
+    out = []
+    for a, b in sorted(gaps):
+        if a >= end:
+            break
+        if a > start:
+            out.append((start, a))
+        start = max(start, b)
+    return [*out, (start, end)] if start < end else out
+
+
 class Scanner:
     """Finds the spans ``(kind, start, end)`` of one text."""
 
@@ -96,20 +111,24 @@ class Scanner:
         found += [("hex", m.start(), m.end()) for m in HEX.finditer(text)]
         taken = [(s, e) for _, s, e in found]
         for m in CANDIDATE.finditer(text):
-            word = m[0]
-            if not DIGIT.search(word) or any(p.fullmatch(word) for p in self.allow):
+            if self.allowed(m[0]):
                 continue
-            for c, pattern in self.classes:
-                for run in pattern.finditer(word):
-                    if not DIGIT.search(run[0]) or run[0].isdigit():
-                        continue
-                    for s, e in window_entropy_spans(run[0], c.width, c.bits):
-                        span = (m.start() + run.start() + s, m.start() + run.start() + e)
-                        if not any(a < span[1] and span[0] < b for a, b in taken):
-                            found.append((c.kind, *span))
-                            taken.append(span)
+            for low, high in pieces(m.start(), m.end(), [p.span() for p in PLACEHOLDER.finditer(text, *m.span())]):
+                if self.allowed(text[low:high]):
+                    continue
+                for c, pattern in self.classes:
+                    for run in pattern.finditer(text, low, high):
+                        if not DIGIT.search(run[0]) or run[0].isdigit():
+                            continue
+                        for s, e in window_entropy_spans(run[0], c.width, c.bits):
+                            rest = pieces(run.start() + s, run.start() + e, taken)
+                            found += [(c.kind, *span) for span in rest]
+                            taken += rest
         return sorted(found, key=self.key)
 
+    def allowed(self, word: str) -> bool:
+        return not DIGIT.search(word) or any(p.fullmatch(word) for p in self.allow)
+
     def masked(self, text: str, mask: str) -> str:
         """``text`` with every found span replaced; overlapping spans get one mask."""
         out, at = [], 0

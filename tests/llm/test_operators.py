@@ -100,6 +100,22 @@ def test_secrets(spark, empty):
     assert masked.columns == ["doc_id", "text", "spans"] and key not in masked.where("doc_id = 1").first().text
 
 
+def test_secrets_beside_known_spans_and_placeholders():
+    key, run = "Zq8vT1xKp3Lm9RbW5nYc7HdJ2sFg", "0a1b2c3d4e5f6978" * 2
+    scanner = secret_scan.Scanner()
+    covered = lambda text: {i for _, s, e in scanner.spans(text) for i in range(s, e)}
+    behind = f"{run}_{key}"
+    assert ("hex", 0, 32) in scanner.spans(behind) and covered(behind) >= set(range(len(behind) - len(key), len(behind)))
+    around = f"{key}_{run}_{key}"
+    assert covered(around) >= set(range(len(key))) | set(range(len(around) - len(key), len(around)))
+    assert key not in scanner.masked(behind, "*") and key not in scanner.masked(around, "*")
+    for text in (f"example_{key}", f"{key}_0123456789", f"{key}xxxxxxxx{key}", f"my-Example-{key}"):
+        assert key not in scanner.masked(text, "*"), text
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    for text in (f"{letters.upper()}{letters}0123456789+/", "xxxxxxxxxxxxxxxxxxxxxxxx1234", "example-of-a-plain-words-slug-2024"):
+        assert scanner.spans(text) == [], text
+
+
 def test_window_entropy_equals_counting_anew():
     rng = random.Random(3)
     for _ in range(50):
