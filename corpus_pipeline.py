@@ -21,6 +21,8 @@ from starloom.llm.tables import Scratch, crc_part, read
 
 #: Least probability of the language; texts without letters have none.
 LEAST_PROBABILITY = 0.5
+#: Near copies share this part of their shingles of so many words (``op9`` has its own figures).
+NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 ORACLE_SQL = None
 
@@ -38,7 +40,7 @@ def keep_one_of_a_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     Rows that share an id are one document and stay together. Documents without
     words are in no group and stay, and so do rows without an id.
     """
-    groups = jaccard_join.similar_groups(docs)
+    groups = jaccard_join.similar_groups(docs, k=NEAR_WORDS, percent=NEAR_PERCENT)
     copies = groups.where("doc_id IS NOT NULL AND doc_id <> component_id").select("doc_id").distinct()
     return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
 

@@ -336,6 +336,17 @@ def test_lexicon_does_not_depend_on_the_number_of_rows(spark):
     assert np.array_equal(toxicity.Matcher(lexicon).features(texts), toxicity.Matcher(lexicon, block=500).features(texts))
 
 
+def test_pipeline_drops_near_copies_from_four_fifths(spark):
+    import corpus_pipeline
+
+    base = [f"word{i}" for i in range(100)]
+    rows = [(1, " ".join(base)), (2, " ".join(base + [f"new{i}" for i in range(20)])),  # 96 of 116 shingles
+            (3, " ".join(base + [f"more{i}" for i in range(24)]))]  # exactly 96 of 120
+    rows.append((4, " ".join(base + [f"other{i}" for i in range(25)])))  # 96 of 121
+    kept = corpus_pipeline.keep_one_of_a_group(spark, spark.createDataFrame(rows, "doc_id bigint, text string"), "")
+    assert {r.doc_id for r in kept.collect()} == {1, 4}
+
+
 def test_pipeline(docs, spark):
     import corpus_pipeline
 
