@@ -189,3 +189,29 @@ def _(spark, folder):
     scored = materialize(factors.predict_svd(test, train, item_factors, train_mean(train)).select("rating", "predicted"), "scored")
     zero = evaluation.rating_errors(scored.withColumn("predicted", F.lit(0.0))).select("rmse").scalar()
     return evaluation.rating_errors(scored).select("n", (F.col("rmse") < zero).alias("beats_zero"))
+
+
+# the errors on the held-out rows have no SQL twin, and none is registered for them
+
+def held_out_errors(name, scored, mean):
+    """Errors of a model and of the training mean on the test rows, and whether the model's are less."""
+    scored = materialize(scored.select("rating", "predicted"), "scored")
+    both = scored.withColumn("model", F.lit(name)).unionByName(scored.select(F.lit("mean").alias("model"), "rating", mean.alias("predicted")))
+    errors = evaluation.rating_errors(both, "model")
+    least = errors.where("model = 'mean'").select("rmse").scalar()
+    beats = F.when(F.col("model") == name, F.col("rmse") < least).alias("beats_mean")
+    return rounded(errors.select("model", "rmse", "mae", beats, "n"), "rmse", "mae")
+
+
+@query("f12_als_test_errors")
+def _(spark, folder):
+    train, test = split_ratings(spark, folder)
+    mean = train_mean(train)
+    return held_out_errors("als", factors.predict_als(test, factors.als_model(train, RANK, 5), mean), mean)
+
+
+@query("j7_svd_test_errors")
+def _(spark, folder):
+    train, test, item_factors, _ = svd(spark, folder)
+    mean = train_mean(train)
+    return held_out_errors("svd", factors.predict_svd(test, train, item_factors, mean), mean)

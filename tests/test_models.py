@@ -75,3 +75,18 @@ def test_query_matches_its_sql(spark, name):
     from oracle_check import compare, duck
 
     assert compare(spark, duck(SMALL), SMALL, name, registry.QUERIES[name], registry.ORACLES[name]) == ""
+
+
+@pytest.mark.parametrize("name, model", [("f12_als_test_errors", "als"), ("j7_svd_test_errors", "svd")])
+def test_held_out_errors(spark, name, model):
+    """The errors are those of the test rows; the mean's are worked out apart."""
+    from starloom.plans.collaborative import split_ratings
+
+    train, test = split_ratings(spark, SMALL)
+    mean = np.mean([r["rating"] for r in train.select("rating").collect()])
+    error = np.array([r["rating"] for r in test.select("rating").collect()]) - mean
+    found = {r["model"]: r for r in registry.QUERIES[name](spark, SMALL).collect()}
+    assert set(found) == {model, "mean"} and name not in registry.ORACLES
+    assert all(r["n"] == len(error) and r["rmse"] >= r["mae"] > 0 for r in found.values())
+    assert found["mean"]["rmse"] == pytest.approx(np.sqrt(np.mean(error ** 2)), abs=1e-5)
+    assert found[model]["beats_mean"] == (found[model]["rmse"] < found["mean"]["rmse"])
