@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 from math import log10
@@ -116,6 +117,60 @@ def test_secrets_beside_known_spans_and_placeholders():
         assert scanner.spans(text) == [], text
 
 
+@pytest.mark.parametrize("text", [
+    "QUJD" + "A" * 30 + "Zq8vT1xKp3Lm9RbW5nYc7HdJ2sFg", "0" * 25 + "ff", "=" * 24 + "v2x", "_" * 22 + "section1a2", "=-" * 5000 + "1a",
+    *("A" * n + "x1/9Zq8vT1xKp3Lm9Rb" for n in range(19, 61))])
+def test_runs_of_one_character_do_not_stop_a_scan(text):
+    began = time.monotonic()
+    assert {c for _, s, e in secret_scan.Scanner().spans(text) for c in range(s, e)} <= set(range(len(text)))
+    assert time.monotonic() - began < 1
+
+
+def test_fixed_secrets_equal_a_plain_reading():
+    rng = random.Random(8)
+    parts = ["password", "Api_Key", "TOKEN", "secret", " ", ":", "=", "'", '"', "AKIA", "Z9", "a1b2c3d4", "ffffffff", "\n", "é", "-", "longvalue1"]
+    words = "password passwd secret token api_key apikey".split()
+    value = set("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-")
+
+    def run(text, at, allowed):
+        end = at
+        while end < len(text) and text[end] in allowed:
+            end += 1
+        return end
+
+    def assign(text, at):
+        """The ends that the pattern may take from ``at`` on; a match always exists or not at all."""
+        for word in words:
+            if text[at:at + len(word)].lower() == word:
+                i = at + len(word)
+                i += text[i:i + 1] in ("'", '"')
+                i = run(text, i, {" "})
+                if text[i:i + 1] not in (":", "="):
+                    continue
+                i = run(text, i + 1, {" "})
+                i += text[i:i + 1] in ("'", '"')
+                if run(text, i, value) > i:
+                    return i, run(text, i, value)
+
+    for _ in range(400):
+        text, expected, at = "".join(rng.choice(parts) for _ in range(40)), [], 0
+        while at < len(text):
+            found = assign(text, at)
+            if found and found[1] - found[0] >= 8:
+                expected.append(("assign", at, found[1]))
+            at = found[1] if found else at + 1
+        for kind, head, allowed, least in (("access", "AKIA", set("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"), 16), ("hex", "", set("0123456789abcdef"), 32)):
+            at = 0
+            while at < len(text):
+                end = run(text, at + len(head), allowed)
+                hit = text.startswith(head, at) and end > at + len(head)
+                if hit and end - at >= least:
+                    expected.append((kind, at, end))
+                at = end if hit else at + 1
+        spans = [s for s in secret_scan.Scanner().spans(text) if not s[0].startswith("entropy")]
+        assert sorted(spans) == sorted(expected), text
+
+
 def test_window_entropy_equals_counting_anew():
     rng = random.Random(3)
     for _ in range(50):
