@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from starloom.llm import decontaminate, jaccard_join, language_id, lm_scoring, packing, quality_rules, secret_scan, substring_dedup, toxicity, url_filter
+from starloom.llm import decontaminate, jaccard_join, language_id, lm_scoring, mixing, packing, quality_rules, secret_scan, substring_dedup, toxicity, url_filter
 from starloom.llm.tables import crc_part, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,3 +87,11 @@ def substrings(spark: SparkSession, folder: str) -> DataFrame:
 def likelihood(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents", "doc_id", "text")
     return lm_scoring.scored(docs, "coalesce(crc32(cast(doc_id AS string)) % 5, 0) <> 1")
+
+
+@query("op11_source_mix")
+def mixed(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.digest(mixing.mix(read(spark, folder, "documents", "doc_id", "text", "source")))
+
+
+ORACLES["op11_source_mix"] = mixing.oracle()
