@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from starloom.llm import decontaminate, jaccard_join, language_id, lm_scoring, mixing, packing, quality_rules, secret_scan, substring_dedup, toxicity, url_filter
+from starloom.llm import decontaminate, jaccard_join, language_id, lm_scoring, mixing, packing, quality_rules, secret_scan, substring_dedup, toxicity, url_filter, whitening
 from starloom.llm.tables import crc_part, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,3 +95,9 @@ def mixed(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ORACLES["op11_source_mix"] = mixing.oracle()
+
+
+@query("op12_whitening")
+def whitened(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = read(spark, folder, "embeddings", "vec_id", "embedding")
+    return whitening.whiten(vectors, whitening.train(vectors))
