@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from starloom.llm import decontaminate, jaccard_join, language_id, lm_scoring, mixing, packing, quality_rules, secret_scan, substring_dedup, toxicity, url_filter, whitening
+from starloom.llm import conversation_repair, decontaminate, jaccard_join, language_id, lm_scoring, mixing, packing, quality_rules, secret_scan, substring_dedup, toxicity, url_filter, whitening
 from starloom.llm.tables import crc_part, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,3 +101,9 @@ ORACLES["op11_source_mix"] = mixing.oracle()
 def whitened(spark: SparkSession, folder: str) -> DataFrame:
     vectors = read(spark, folder, "embeddings", "vec_id", "embedding")
     return whitening.whiten(vectors, whitening.train(vectors))
+
+
+@query("op13_conversation_repair")
+def repaired(spark: SparkSession, folder: str) -> DataFrame:
+    turns = conversation_repair.damaged(read(spark, folder, "conversations", "conv_id", "turn", "role", "text"))
+    return conversation_repair.digest(conversation_repair.repair(turns))
