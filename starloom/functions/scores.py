@@ -8,7 +8,8 @@ LOW, HIGH = 1.0, 5.0
 
 
 def clip(x: Column, low: float = LOW, high: float = HIGH) -> Column:
-    return F.least(F.lit(high), F.greatest(F.lit(low), x))
+    """``x`` within the scale; null stays null, which ``greatest`` alone would turn into ``low``."""
+    return F.when(x.isNotNull(), F.least(F.lit(high), F.greatest(F.lit(low), x)))
 
 
 def half_even(x: Column, digits: int) -> Column:

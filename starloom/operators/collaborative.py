@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from starloom.functions.scores import by_score, clip, top_n
-from starloom.operators import blocks, profile
+from starloom.operators import blocks, gaps, profile
 from starloom.session import materialize
 
 
@@ -106,16 +108,19 @@ def aligned(cells: DataFrame, train: DataFrame, test: DataFrame) -> DataFrame:
     return joined.na.fill(0.0, ["train_rating", "test_rating"])
 
 
-def item_candidates(near_items: DataFrame, ratings: DataFrame) -> DataFrame:
-    """Predictions for every unrated item reached through a rated neighbour."""
+def item_candidates(near_items: DataFrame, ratings: DataFrame, users: DataFrame | None = None) -> DataFrame:
+    """Predictions for every unrated item reached through a rated neighbour, of all users or some."""
     near = near_items.select(F.col("id").alias("item_id"), "other", "score")
+    ratings = ratings if users is None else ratings.join(users, "user_id", "left_semi")
     rated = ratings.select("user_id", F.col("item_id").alias("other"), "rating")
     scored = _ratio(rated.join(near, "other"))
     return _unrated(scored, ratings)
 
 
-def user_candidates(near_users: DataFrame, ratings: DataFrame) -> DataFrame:
+def user_candidates(near_users: DataFrame, ratings: DataFrame, users: DataFrame | None = None) -> DataFrame:
+    """Predictions for every unrated item that a neighbour rated, of all users or some."""
     near = near_users.select(F.col("id").alias("user_id"), "other", "score")
+    near = near if users is None else near.join(users, "user_id", "left_semi")
     rated = ratings.select(F.col("user_id").alias("other"), "item_id", "rating")
     scored = _ratio(near.join(rated, "other"))
     return _unrated(scored, ratings)
@@ -130,20 +135,69 @@ def recommend(predictions: DataFrame, n: int = 10, score: str = "predicted") ->
     return top_n(predictions, ["user_id"], n, *by_score(score, "item_id"))
 
 
+def best_of_all(
+    candidates: Callable[[DataFrame | None], DataFrame], ratings: DataFrame, default: Column, n: int = 10,
+    score: str = "predicted", taken: DataFrame | None = None,
+) -> DataFrame:
+    """The ``n`` best unrated items of every user, where items that a model does not reach score ``default``.
+
+    ``candidates(users)`` are the reached items of some users, or of all if
+    None. Unreached items tie, so only their first ``n`` ids can be listed, and
+    only for users whose n-th reached item does not beat the default already.
+    ``taken`` lists pairs that are neither reached nor to be filled in.
+    """
+    best = materialize(recommend(candidates(None), n, score).drop("rank"), "best")
+    lists = best.groupBy("user_id").agg(F.count("*").alias("n"), F.min(score).alias("least"))
+    unfinished = ratings.select("user_id").distinct().join(lists, "user_id", "left").where(
+        F.col("n").isNull() | (F.col("n") < n) | (F.round("least", 9) <= F.round(default, 9))).select("user_id")
+    unfinished = materialize(unfinished, "unfinished")
+    reached = candidates(unfinished).select("user_id", "item_id").unionByName(
+        ratings.join(unfinished, "user_id", "left_semi").select("user_id", "item_id"))
+    if taken is not None:
+        reached = reached.unionByName(taken.join(unfinished, "user_id", "left_semi").select("user_id", "item_id"))
+    filled = gaps.first_missing(unfinished, reached, ratings, n).withColumn(score, default)
+    return recommend(best.unionByName(filled, allowMissingColumns=True), n, score)
+
+
+def mean_rating(ratings: DataFrame) -> Column:
+    return ratings.agg(F.avg("rating")).scalar()
+
+
 def item_knn_recommendations(ratings: DataFrame, k: int = 50, n: int = 10) -> DataFrame:
-    """The ``n`` best unrated items of every user by item neighbours."""
+    """The ``n`` best unrated items of every user by item neighbours, the mean rating for items without evidence."""
     ratings = materialize(ratings, "ratings")
-    return recommend(item_candidates(neighbours(ratings, "item_id", k), ratings), n)
+    near = materialize(neighbours(ratings, "item_id", k), "near")
+    return best_of_all(lambda users: item_candidates(near, ratings, users), ratings, mean_rating(ratings), n)
 
 
-def ensemble(models: dict[str, DataFrame], n: int = 10) -> DataFrame:
-    """Mean of several models' predictions for items that all of them reach."""
+def user_knn_recommendations(ratings: DataFrame, k: int = 50, n: int = 10) -> DataFrame:
+    """The ``n`` best unrated items of every user by user neighbours, the mean rating for items without evidence."""
+    ratings = materialize(ratings, "ratings")
+    near = materialize(neighbours(ratings, "user_id", k), "near")
+    return best_of_all(lambda users: user_candidates(near, ratings, users), ratings, mean_rating(ratings), n)
+
+
+def joined_models(models: dict[str, DataFrame], default: Column) -> DataFrame:
+    """A column per model with its prediction for every item that any of them reaches, ``default`` where it does not itself."""
     joined = None
     for name, df in models.items():
         part = df.select("user_id", "item_id", F.col("predicted").alias(name))
-        joined = part if joined is None else joined.join(part, ["user_id", "item_id"])
-    mean = sum(F.col(name) for name in models) / len(models)
-    return recommend(joined.withColumn("average_prediction", mean), n, "average_prediction")
+        joined = part if joined is None else joined.join(part, ["user_id", "item_id"], "full")
+    return joined.select("user_id", "item_id", *[F.coalesce(name, default).alias(name) for name in models])
+
+
+def _mean_of(names) -> Column:
+    return sum(F.col(name) for name in names) / len(names)
+
+
+def ensemble(models: dict[str, DataFrame], ratings: DataFrame, n: int = 10) -> DataFrame:
+    """The ``n`` best unrated items by the mean of several models' predictions, the mean rating where a model reaches an item not."""
+    default = mean_rating(ratings)
+    joined = joined_models(models, default).withColumn("average_prediction", _mean_of(models))
+    joined = materialize(joined, "joined")
+    candidates = lambda users: joined if users is None else joined.join(users, "user_id", "left_semi")
+    best = best_of_all(candidates, ratings, default, n, "average_prediction")
+    return best.withColumns({name: F.coalesce(name, default) for name in models})
 
 
 def bias_baseline(train: DataFrame, targets: DataFrame) -> DataFrame:

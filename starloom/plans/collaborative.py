@@ -69,22 +69,30 @@ SELECT user_id, item_id, least(5, greatest(1, raw)) AS predicted FROM (
   FROM user_top_ratings t JOIN ratings r ON t.other = r.user_id GROUP BY t.id, r.item_id) c
 WHERE NOT EXISTS (SELECT 1 FROM ratings x WHERE x.user_id = c.user_id AND x.item_id = c.item_id)
 """, "ratings", "user_top_ratings")
+# every unrated item of every user: what a model does not reach scores the mean rating
+for _model in ("item", "user"):
+    cte(f"{_model}_complete", f"""
+SELECT u.user_id, i.item_id, coalesce(c.predicted, (SELECT avg(rating) FROM ratings)) AS predicted
+FROM (SELECT DISTINCT user_id FROM ratings) u CROSS JOIN (SELECT DISTINCT item_id FROM ratings) i
+LEFT JOIN {_model}_candidates c ON c.user_id = u.user_id AND c.item_id = i.item_id
+LEFT JOIN ratings r ON r.user_id = u.user_id AND r.item_id = i.item_id WHERE r.user_id IS NULL
+""", "ratings", f"{_model}_candidates")
 cte("pred_item", """
-SELECT t.user_id, t.item_id, t.rating, coalesce(least(5, greatest(1, raw)), (SELECT avg(rating) FROM train)) AS predicted
+SELECT t.user_id, t.item_id, t.rating, coalesce(CASE WHEN raw IS NOT NULL THEN least(5, greatest(1, raw)) END, (SELECT avg(rating) FROM train)) AS predicted
 FROM test t LEFT JOIN (
   SELECT t.user_id, t.item_id, sum(n.score * r.rating) / sum(abs(n.score)) AS raw
   FROM test t JOIN item_top_train n ON n.id = t.item_id JOIN train r ON r.user_id = t.user_id AND r.item_id = n.other
   GROUP BY t.user_id, t.item_id) p ON p.user_id = t.user_id AND p.item_id = t.item_id
 """, "train", "test", "item_top_train")
 cte("pred_user", """
-SELECT t.user_id, t.item_id, t.rating, coalesce(least(5, greatest(1, raw)), (SELECT avg(rating) FROM train)) AS predicted
+SELECT t.user_id, t.item_id, t.rating, coalesce(CASE WHEN raw IS NOT NULL THEN least(5, greatest(1, raw)) END, (SELECT avg(rating) FROM train)) AS predicted
 FROM test t LEFT JOIN (
   SELECT t.user_id, t.item_id, sum(n.score * r.rating) / sum(abs(n.score)) AS raw
   FROM test t JOIN user_top_train n ON n.id = t.user_id JOIN train r ON r.user_id = n.other AND r.item_id = t.item_id
   GROUP BY t.user_id, t.item_id) p ON p.user_id = t.user_id AND p.item_id = t.item_id
 """, "train", "test", "user_top_train")
 cte("pred_all", """
-SELECT t.user_id, t.item_id, t.rating, coalesce(least(5, greatest(1, raw)), 3.0) AS predicted
+SELECT t.user_id, t.item_id, t.rating, coalesce(CASE WHEN raw IS NOT NULL THEN least(5, greatest(1, raw)) END, 3.0) AS predicted
 FROM test t LEFT JOIN (
   SELECT t.user_id, t.item_id, sum(n.score * r.rating) / sum(abs(n.score)) AS raw
   FROM test t JOIN train r ON r.user_id = t.user_id JOIN item_sims_train n ON n.id = t.item_id AND n.other = r.item_id
@@ -197,24 +205,43 @@ def _(spark, folder):
     return rounded(cf.neighbours(tables.ratings(spark, folder), "user_id", K), "score")
 
 
-@query("e2_item_knn_recommendations", f"""
+RANKED = f"""
 SELECT user_id, item_id, round(predicted, 6) AS predicted, CAST(rank AS INTEGER) AS rank FROM (
-  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY round(predicted, 9) DESC, item_id) AS rank FROM item_candidates)
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY round(predicted, 9) DESC, item_id) AS rank FROM {{}})
 WHERE rank <= {N}
-""", "item_candidates")
+"""
+
+
+@query("e2_item_knn_recommendations", RANKED.format("item_complete"), "item_complete")
 def _(spark, folder):
     return rounded(cf.item_knn_recommendations(tables.ratings(spark, folder), K, N), "predicted")
 
 
-@query("d9_user_candidates", f"""
-SELECT user_id, item_id, round(predicted, 6) AS predicted, CAST(rank AS INTEGER) AS rank FROM (
-  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY round(predicted, 9) DESC, item_id) AS rank FROM user_candidates)
-WHERE rank <= {N}
-""", "user_candidates")
+# with few neighbours most items are reached by no rated one, so many lists end with the mean rating
+FEW, LONG = 5, 100
+top_cte("item_top5_ratings", "item_sims_ratings", FEW)
+cte("item_few", """
+SELECT u.user_id, i.item_id, coalesce(CASE WHEN raw IS NOT NULL THEN least(5, greatest(1, raw)) END, (SELECT avg(rating) FROM ratings)) AS predicted
+FROM (SELECT DISTINCT user_id FROM ratings) u CROSS JOIN (SELECT DISTINCT item_id FROM ratings) i
+LEFT JOIN (SELECT r.user_id, t.id AS item_id, sum(t.score * r.rating) / sum(abs(t.score)) AS raw
+  FROM ratings r JOIN item_top5_ratings t ON t.other = r.item_id GROUP BY r.user_id, t.id) c ON c.user_id = u.user_id AND c.item_id = i.item_id
+LEFT JOIN ratings r ON r.user_id = u.user_id AND r.item_id = i.item_id WHERE r.user_id IS NULL
+""", "ratings", "item_top5_ratings")
+
+
+@query("e2_item_knn_few_neighbours", f"""
+SELECT user_id, item_id, round(round(predicted, 9), 6) AS predicted, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY round(predicted, 9) DESC, item_id) AS rank FROM item_few)
+WHERE rank <= {LONG}
+""", "item_few")
 def _(spark, folder):
-    ratings = materialize(tables.ratings(spark, folder), "ratings")
-    recs = cf.recommend(cf.user_candidates(cf.neighbours(ratings, "user_id", K), ratings), N)
-    return rounded(recs, "predicted")
+    # means of few whole ratings often lie exactly between two roundings
+    return rounded(rounded(cf.item_knn_recommendations(tables.ratings(spark, folder), FEW, LONG), "predicted", digits=9), "predicted")
+
+
+@query("d9_user_candidates", RANKED.format("user_complete"), "user_complete")
+def _(spark, folder):
+    return rounded(cf.user_knn_recommendations(tables.ratings(spark, folder), K, N), "predicted")
 
 
 # ---- predictions on held-out rows
@@ -241,7 +268,7 @@ def _(spark, folder):
 
 
 @query("f8_user_product_predictions", """
-SELECT t.user_id, t.item_id, t.rating, round(coalesce(least(5, greatest(1, raw)), 3.0), 6) AS predicted
+SELECT t.user_id, t.item_id, t.rating, round(coalesce(CASE WHEN raw IS NOT NULL THEN least(5, greatest(1, raw)) END, 3.0), 6) AS predicted
 FROM test t LEFT JOIN (
   SELECT t.user_id, t.item_id, avg(n.score * r.rating) AS raw
   FROM test t JOIN user_top49_train n ON n.id = t.user_id JOIN train r ON r.user_id = n.other AND r.item_id = t.item_id
@@ -258,16 +285,16 @@ def _(spark, folder):
 SELECT user_id, item_id, round(item_knn, 6) AS item_knn, round(user_knn, 6) AS user_knn, round(mean, 6) AS average_prediction, CAST(rank AS INTEGER) AS rank
 FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY round(mean, 9) DESC, item_id) AS rank FROM (
   SELECT user_id, item_id, i.predicted AS item_knn, u.predicted AS user_knn, (i.predicted + u.predicted) / 2 AS mean
-  FROM item_candidates i JOIN user_candidates u USING (user_id, item_id)))
+  FROM item_complete i JOIN user_complete u USING (user_id, item_id)))
 WHERE rank <= {N}
-""", "item_candidates", "user_candidates")
+""", "item_complete", "user_complete")
 def _(spark, folder):
     ratings = materialize(tables.ratings(spark, folder), "ratings")
     models = {
         "item_knn": cf.item_candidates(cf.neighbours(ratings, "item_id", K), ratings),
         "user_knn": cf.user_candidates(cf.neighbours(ratings, "user_id", K), ratings),
     }
-    return rounded(cf.ensemble(models, N), "item_knn", "user_knn", "average_prediction")
+    return rounded(cf.ensemble(models, ratings, N).select("user_id", "item_id", *models, "average_prediction", "rank"), "item_knn", "user_knn", "average_prediction")
 
 
 @query("f14_bias_baseline", "SELECT user_id, item_id, rating, round(round(predicted, 9), 6) AS predicted FROM pred_bias", "pred_bias")
@@ -346,12 +373,16 @@ def _(spark, folder):
 cte("recs_train", """
 SELECT model, user_id, item_id, rank FROM (
   SELECT *, row_number() OVER (PARTITION BY model, user_id ORDER BY round(predicted, 9) DESC, item_id) AS rank FROM (
-    SELECT 'item_knn' AS model, r.user_id, t.id AS item_id, least(5, greatest(1, sum(t.score * r.rating) / sum(abs(t.score)))) AS predicted
-    FROM train r JOIN item_top_train t ON t.other = r.item_id GROUP BY r.user_id, t.id
-    UNION ALL
-    SELECT 'user_knn', t.id, r.item_id, least(5, greatest(1, sum(t.score * r.rating) / sum(abs(t.score))))
-    FROM user_top_train t JOIN train r ON t.other = r.user_id GROUP BY t.id, r.item_id) c
-  WHERE NOT EXISTS (SELECT 1 FROM train x WHERE x.user_id = c.user_id AND x.item_id = c.item_id))
+    SELECT m.model, u.user_id, i.item_id, coalesce(c.predicted, (SELECT avg(rating) FROM train)) AS predicted
+    FROM (VALUES ('item_knn'), ('user_knn')) m(model) CROSS JOIN (SELECT DISTINCT user_id FROM train) u CROSS JOIN (SELECT DISTINCT item_id FROM train) i
+    LEFT JOIN (
+      SELECT 'item_knn' AS model, r.user_id, t.id AS item_id, least(5, greatest(1, sum(t.score * r.rating) / sum(abs(t.score)))) AS predicted
+      FROM train r JOIN item_top_train t ON t.other = r.item_id GROUP BY r.user_id, t.id
+      UNION ALL
+      SELECT 'user_knn', t.id, r.item_id, least(5, greatest(1, sum(t.score * r.rating) / sum(abs(t.score))))
+      FROM user_top_train t JOIN train r ON t.other = r.user_id GROUP BY t.id, r.item_id) c
+      ON c.model = m.model AND c.user_id = u.user_id AND c.item_id = i.item_id
+    LEFT JOIN train x ON x.user_id = u.user_id AND x.item_id = i.item_id WHERE x.user_id IS NULL))
 WHERE rank <= 20
 """, "train", "item_top_train", "user_top_train")
 cte("ranking", """
@@ -372,16 +403,20 @@ FROM (SELECT model, k, avg("precision") AS p, avg(recall) AS r, avg(hit) AS h FR
 
 
 def train_recommendations(spark, folder):
+    """Stored lists of both neighbourhood models, and the test rows."""
     train, test = split_ratings(spark, folder)
-    models = {
-        "item_knn": cf.item_candidates(cf.neighbours(train, "item_id", K), train),
-        "user_knn": cf.user_candidates(cf.neighbours(train, "user_id", K), train),
-    }
+    return materialize(named({
+        "item_knn": cf.item_knn_recommendations(train, K, 20),
+        "user_knn": cf.user_knn_recommendations(train, K, 20),
+    }), "recs"), test
+
+
+def named(lists):
     union = None
-    for name, df in models.items():
-        part = cf.recommend(df, 20).select(F.lit(name).alias("model"), "user_id", "item_id", "rank")
+    for name, df in lists.items():
+        part = df.select(F.lit(name).alias("model"), "user_id", "item_id", "rank")
         union = part if union is None else union.unionByName(part)
-    return materialize(union, "recs"), test
+    return union
 
 
 @query("j1_relevant_items", "SELECT user_id, item_id FROM test WHERE rating >= 4", "test")

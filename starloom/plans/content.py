@@ -291,7 +291,7 @@ def _(spark, folder):
 
 
 cte("pred_liked", """
-SELECT t.user_id, t.item_id, t.rating, coalesce(least(5, greatest(1, 3 + 2 * m)), 3.0) AS predicted
+SELECT t.user_id, t.item_id, t.rating, coalesce(CASE WHEN m IS NOT NULL THEN least(5, greatest(1, 3 + 2 * m)) END, 3.0) AS predicted
 FROM test t LEFT JOIN (
   SELECT t.user_id, t.item_id, avg(r.rating * s.score) AS m
   FROM test t JOIN train r ON r.user_id = t.user_id AND r.rating >= 4 JOIN content_sims s ON s.id = t.item_id AND s.other = r.item_id

@@ -87,8 +87,8 @@ cf AS (SELECT t.user_id, t.item_id, sum(s.score * r.rating) / sum(s.score) AS ra
 cb AS (SELECT t.user_id, t.item_id, avg(s.score * r.rating) AS m
   FROM t JOIN ratings r ON r.user_id = t.user_id AND r.item_id <> t.item_id AND r.rating >= 4
   JOIN content_sims s ON s.id = t.item_id AND s.other = r.item_id GROUP BY t.user_id, t.item_id)
-SELECT t.user_id, t.item_id, t.rating, round(coalesce(least(5, greatest(1, raw)), 3.0), 6) AS collaborative,
-       round(coalesce(least(5, greatest(1, 3 + 2 * m)), 3.0), 6) AS content
+SELECT t.user_id, t.item_id, t.rating, round(coalesce(CASE WHEN raw IS NOT NULL THEN least(5, greatest(1, raw)) END, 3.0), 6) AS collaborative,
+       round(coalesce(CASE WHEN m IS NOT NULL THEN least(5, greatest(1, 3 + 2 * m)) END, 3.0), 6) AS content
 FROM t LEFT JOIN cf ON cf.user_id = t.user_id AND cf.item_id = t.item_id LEFT JOIN cb ON cb.user_id = t.user_id AND cb.item_id = t.item_id
 """.replace("WITH t AS", "SELECT * FROM (WITH t AS", 1).rstrip() + ")", "ratings", "item_sims_ratings", "content_sims")
 def _(spark, folder):
@@ -98,7 +98,7 @@ def _(spark, folder):
 
 
 @query("f9_positive_predictions", """
-SELECT t.user_id, t.item_id, t.rating, round(coalesce(least(5, greatest(1, raw)), 3.0), 6) AS predicted
+SELECT t.user_id, t.item_id, t.rating, round(coalesce(CASE WHEN raw IS NOT NULL THEN least(5, greatest(1, raw)) END, 3.0), 6) AS predicted
 FROM test t LEFT JOIN (
   SELECT t.user_id, t.item_id, sum(s.score * r.rating) / sum(s.score) AS raw
   FROM test t JOIN train r ON r.user_id = t.user_id AND r.item_id <> t.item_id
