@@ -8,7 +8,7 @@ from starloom import schemas
 from starloom.operators import collaborative as cf, evaluation, factors, profile
 from starloom.plans.base import Group, rounded
 from starloom.plans.catalogue import HIGH, SUFFICIENT, stats_items
-from starloom.plans.collaborative import split_ratings, train_mean
+from starloom.plans.collaborative import K, N, named, split_ratings, train_mean, train_recommendations
 from starloom.session import materialize, scratch_path, shared_folder
 from starloom.sources import files, tables
 
@@ -215,3 +215,59 @@ def _(spark, folder):
     train, test, item_factors, _ = svd(spark, folder)
     mean = train_mean(train)
     return held_out_errors("svd", factors.predict_svd(test, train, item_factors, mean), mean)
+
+
+# lists by the reconstructed rating, beside those of the neighbourhood models; tests compare them with plain rankings
+
+@query("f13_three_model_ensemble")
+def _(spark, folder):
+    ratings = materialize(tables.ratings(spark, folder), "ratings")
+    item_factors, _ = factors.truncated_svd(ratings, RANK, oversample=6, rounds=3)
+    models = {
+        "item_knn": cf.item_candidates(cf.neighbours(ratings, "item_id", K), ratings),
+        "user_knn": cf.user_candidates(cf.neighbours(ratings, "user_id", K), ratings),
+    }
+    best = factors.ensemble(models, ratings, item_factors, N)
+    return rounded(best.select("user_id", "item_id", *models, "svd", "average_prediction", "rank"), *models, "svd", "average_prediction")
+
+
+def all_recommendations(spark, folder):
+    """Stored lists of the neighbourhood models and the factorisation, and the test rows."""
+    near, test = train_recommendations(spark, folder)
+    train, _, item_factors, _ = svd(spark, folder)
+    lists = named({"svd": factors.svd_recommendations(train, item_factors, 20)})
+    return materialize(near.unionByName(lists), "recs"), test
+
+
+@query("j2_j3_all_models_per_user")
+def _(spark, folder):
+    return rounded(evaluation.ranking_per_user(*all_recommendations(spark, folder)), "precision", "recall")
+
+
+@query("j4_all_models_summary")
+def _(spark, folder):
+    """Averages per model and cut-off, with the catalogue coverage and the metrics that the model leads there."""
+    recs, test = all_recommendations(spark, folder)
+    summary = materialize(evaluation.ranking_summary(evaluation.ranking_per_user(recs, test)), "summary")
+    leads = evaluation.best_models(summary).groupBy("model", "k").agg(F.array_sort(F.collect_list("metric")).alias("leads"))  # four metrics
+    covered = evaluation.coverage(recs, tables.items(spark, folder))
+    out = summary.join(covered, ["model", "k"]).join(leads, ["model", "k"], "left").withColumn("leads", F.array_join("leads", ","))
+    return rounded(out, "precision", "recall", "hit_rate", "f1", "coverage")
+
+
+@query("j7_all_models_errors")
+def _(spark, folder):
+    train, test, item_factors, _ = svd(spark, folder)
+    mean = train_mean(train)
+    models = {
+        "item_knn": cf.predict_by_item(test, cf.neighbours(train, "item_id", K), train, mean),
+        "user_knn": cf.predict_by_user(test, cf.neighbours(train, "user_id", K), train, mean),
+        "svd": factors.predict_svd(test, train, item_factors, mean),
+        "als": factors.predict_als(test, factors.als_model(train, RANK, 5), mean),
+        "bias": cf.bias_baseline(train, test),
+    }
+    scored = None
+    for name, df in models.items():
+        part = df.select(F.lit(name).alias("model"), "rating", "predicted")
+        scored = part if scored is None else scored.unionByName(part)
+    return rounded(evaluation.rating_errors(scored, "model"), "rmse", "mae")

@@ -3,11 +3,12 @@
 import random
 from collections import defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from starloom.functions.scores import clip
-from starloom.operators import collaborative as cf, gaps
+from starloom.operators import collaborative as cf, factors, gaps, products
 
 RATINGS = "user_id bigint, item_id bigint, rating double"
 
@@ -65,3 +66,74 @@ def test_lists_rank_every_unrated_item(spark, of):
         all_of = sorted((-round(known.get((user, i), mean), 9), i) for i in items if (user, i) not in rated)
         assert found[user] == [(i, -s) for s, i in all_of[:12]]
     assert any(s == round(mean, 9) for rows in found.values() for _, s in rows)
+
+
+def dense_predictions(spark, rows, rank=4):
+    """Ratings, item factors, and the reconstructed rating of every pair, cut to the scale."""
+    ratings = spark.createDataFrame(rows, RATINGS)
+    items, _ = factors.truncated_svd(ratings, k=rank, oversample=6, rounds=3)
+    v = {r.id: np.array(r.f) for r in items.collect()}
+    u = defaultdict(lambda: np.zeros(rank))
+    for user, item, rating in rows:
+        u[user] += rating * v[item]
+    return ratings, items, {(a, b): min(5.0, max(1.0, float(u[a] @ v[b]))) for a in u for b in v}
+
+
+def crowded_ratings():
+    """Groups of users who rate the same items, so that some reconstructed ratings exceed 1."""
+    rng = random.Random(6)
+    return [(u, i, float(rng.randint(3, 5))) for u in range(40) for i in range(60) if rng.random() < (0.8 if u % 4 == i % 4 else 0.06)]
+
+
+def listed(frame, *columns):
+    found = defaultdict(list)
+    for r in frame.orderBy("user_id", "rank").collect():
+        found[r.user_id].append((r.item_id, *[round(r[c], 8) for c in columns]))
+    return found
+
+
+@pytest.mark.parametrize("block, n", [(1024, 12), (7, 12), (7, 30)])
+def test_svd_lists_rank_every_unrated_item(spark, monkeypatch, block, n):
+    monkeypatch.setattr(products, "BLOCK", block)
+    monkeypatch.setattr(products, "GROUP", 3)
+    rows = crowded_ratings()
+    ratings, items, scores = dense_predictions(spark, rows)
+    rated = {(u, i) for u, i, _ in rows}
+    found = listed(factors.svd_recommendations(ratings, items, n), "predicted")
+    for user in {u for u, *_ in rows}:
+        order = sorted((-round(s, 9), i) for (u, i), s in scores.items() if u == user and (u, i) not in rated)[:n]
+        assert [i for i, _ in found[user]] == [i for _, i in order]
+        assert np.allclose([s for _, s in found[user]], [-s for s, _ in order])
+    assert 0 < sum(s > 1 for rows in found.values() for _, s in rows) < sum(map(len, found.values()))
+
+
+def test_ensemble_of_three_models(spark):
+    rows = crowded_ratings()
+    ratings, items, svd = dense_predictions(spark, rows)
+    rated, mean = {(u, i) for u, i, _ in rows}, sum(r for *_, r in rows) / len(rows)
+    models = {"item_knn": cf.item_candidates(cf.neighbours(ratings, "item_id", 2), ratings),
+              "user_knn": cf.user_candidates(cf.neighbours(ratings, "user_id", 2), ratings)}
+    known = {name: {(r.user_id, r.item_id): r.predicted for r in df.collect()} for name, df in models.items()}
+    found = listed(factors.ensemble(models, ratings, items, 15), "item_knn", "user_knn", "svd", "average_prediction")
+    for user in {u for u, *_ in rows}:
+        cells = []
+        for item in {i for _, i, _ in rows}:
+            if (user, item) not in rated:
+                three = [*[known[name].get((user, item), mean) for name in models], svd[user, item]]
+                cells.append((-round(sum(three) / 3, 9), item, *[round(x, 8) for x in (*three, sum(three) / 3)]))
+        assert [f[0] for f in found[user]] == [c[1] for c in sorted(cells)[:15]]
+        assert np.allclose([f[1:] for f in found[user]], [c[2:] for c in sorted(cells)[:15]])
+
+
+def test_products_skip_blocks_below_the_floor(spark):
+    left = spark.createDataFrame([(i, [float(i), 0.0], 3) for i in range(50)], "id bigint, f array<double>, want bigint")
+    right = spark.createDataFrame([(i, [2.0**-i, 1.0]) for i in range(20)] + [(99, [0.0, 0.0])], "id bigint, f array<double>")
+    rows = products.largest_products(left, right, 1.0, 30.0).collect()
+    want = {(i, j): min(30.0, i * 2.0**-j) for i in range(50) for j in range(20) if i * 2.0**-j > 1}
+    best = defaultdict(list)
+    for (i, j), s in want.items():
+        best[i].append((-s, j))
+    got = {(r.id, r.other): r.score for r in rows}
+    assert all(got[pair] == want[pair] for pair in got)
+    assert {(i, j) for i, scored in best.items() for _, j in sorted(scored)[:3]} <= set(got)
+    assert products.largest_products(left, right.where("id = 99"), 1.0).count() == 0
