@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
 from starloom.operators import sessions as ops
@@ -218,10 +221,26 @@ def event_stream(spark, folder):
     return tables.session_columns(stream)
 
 
-def run_stateful(spark, folder, processor, schema, label, keys, time_mode="None"):
-    out, state = scratch_path(spark, label), scratch_path(spark, f"{label}-state")
-    result = jobs.with_state(event_stream(spark, folder), processor, schema, time_mode)
-    jobs.drain(jobs.store_updates(result, out, state))
+def run_stateful(spark, folder, processor, schema, label, keys):
+    """All rows that a processor emits for the whole table, whose files may come in any order."""
+    out, state, ends = (scratch_path(spark, f"{label}{part}") for part in ("", "-state", "-end"))
+    raw = tables.sessions(spark, folder).select("event_id", "session_id", "ts")
+    first, last = raw.agg(F.min("ts"), F.max("ts")).first()
+    span = last - first if first is not None else timedelta(0)
+    raw.limit(0).write.parquet(ends)
+
+    def run():
+        end = spark.readStream.schema(raw.schema).parquet(ends)
+        events = event_stream(spark, folder).select("event_id", "session_id", "ts").unionByName(end)
+        # any file may hold the first row of the table or the last
+        result = jobs.with_state(events, processor, schema, f"{math.ceil(span.total_seconds()) + 1} seconds")
+        jobs.drain(jobs.store_updates(result, out, state))
+
+    run()
+    if first is not None:  # nothing follows: the watermark may pass every row
+        after = last + 2 * (span + timedelta(seconds=1)) + timedelta(microseconds=4 * processor.span)
+        spark.createDataFrame([(None, None, after)], raw.schema).write.mode("append").parquet(ends)
+        run()
     return jobs.latest_updates(spark, out, keys)
 
 
@@ -235,9 +254,17 @@ def _(spark, folder):
     return run_stateful(spark, folder, jobs.AnswerOnce(DAY), "event_id bigint, session_id bigint, answered boolean", "answers", ["event_id"])
 
 
-@query("i11_live_session_stream", "SELECT session_id, count(*) AS events FROM sessions GROUP BY session_id", "sessions")
+@query("i11_live_session_stream", f"""
+SELECT session_id, min(epoch_us(ts)) AS started, max(epoch_us(ts)) AS ended, count(*) AS events FROM (
+  SELECT *, sum(starts) OVER (PARTITION BY session_id ORDER BY ts, event_id) AS piece FROM (
+    SELECT event_id, session_id, ts,
+      CASE WHEN epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY session_id ORDER BY ts, event_id)) <= {DAY // 4} * 1000000::BIGINT THEN 0 ELSE 1 END AS starts
+    FROM sessions))
+GROUP BY session_id, piece
+""", "sessions")
 def _(spark, folder):
-    return run_stateful(spark, folder, jobs.LiveSession(3600), "session_id bigint, events bigint", "live", ["session_id"], "ProcessingTime")
+    schema = "started bigint, session_id bigint, ended bigint, events bigint"
+    return run_stateful(spark, folder, jobs.LiveSession(DAY // 4), schema, "live", ["session_id", "started"])
 
 
 @query("i15_running_item_stats", """

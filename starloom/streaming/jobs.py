@@ -1,10 +1,19 @@
-"""Structured Streaming jobs over session events."""
+"""Structured Streaming jobs over session events.
+
+Answers that depend on the order of a session's events are given in event time:
+rows wait in state, one time bucket per map entry, until the watermark has
+passed their bucket, and are then answered in order. Files may thus come in any
+order, as long as no row is later than the watermark allows. A row beyond the
+end of the data, without a session, tells the stream that nothing follows.
+"""
 
 from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
+from contextlib import contextmanager
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -26,11 +35,27 @@ def read_events(spark: SparkSession, folder: str, name: str, schema: StructType,
     )
 
 
+@contextmanager
+def settings(spark: SparkSession, **values: str):
+    """Session settings that hold while a stream starts, which takes its own copy of them."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    try:
+        for key, value in values.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def drain(writer) -> None:
     """Runs a stream over all data that is there and waits for it to end."""
-    # states that expire by the clock would ask for empty batches for ever
-    SparkSession.getActiveSession().conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
-    writer.trigger(availableNow=True).start().awaitTermination()
+    with settings(SparkSession.getActiveSession(), **{"spark.sql.streaming.stateStore.providerClass": STATE_STORE}):
+        running = writer.trigger(availableNow=True).start()
+    running.awaitTermination()
 
 
 def running_item_stats(ratings: DataFrame, window: str = "1 day", late: str = "1 day") -> DataFrame:
@@ -88,88 +113,147 @@ def latest_updates(spark: SparkSession, folder: str, keys: list[str]) -> DataFra
     return last.select(*keys, "row.*")
 
 
-class SlidingLimit(StatefulProcessor):
+class InOrder(StatefulProcessor):
+    """Keeps a session's rows until the watermark has passed their bucket, then answers them in order.
+
+    A map entry holds the packed rows of one bucket, so that a timer reads and
+    sorts one bucket at a time, not all that waits.
+    """
+
+    def __init__(self, seconds: int):
+        self.span = seconds * 1_000_000
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getMapState("waiting", "bucket bigint", "packed binary")
+        self.open()
+
+    def open(self) -> None:
+        """Declares the state of the answers."""
+
+    def answer(self, micros: list[int], events: list[int]) -> dict[str, list]:
+        """Result columns for rows in order."""
+        raise NotImplementedError
+
+    def ended(self, watermark: int) -> dict[str, list] | None:
+        """Result columns for what the watermark alone decides."""
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        if key[0] is None:
+            return
+        for part in rows:
+            pairs = part[["micros", "event_id"]].to_numpy("<i8")
+            buckets = pairs[:, 0] // self.span
+            for bucket in np.unique(buckets).tolist():
+                packed = pairs[buckets == bucket].tobytes()
+                known = (bucket,)
+                if self.waiting.containsKey(known):
+                    packed = bytes(self.waiting.getValue(known)[0]) + packed
+                else:
+                    self.handle.registerTimer((bucket + 1) * self.span // 1000)
+                self.waiting.updateValue(known, (packed,))
+        yield from ()
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        watermark = timerValues.getCurrentWatermarkInMs() * 1000
+        ready = sorted(k[0] for k in self.waiting.keys() if (k[0] + 1) * self.span <= watermark)
+        for bucket in ready:
+            pairs = np.frombuffer(self.waiting.getValue((bucket,))[0], "<i8").reshape(-1, 2)
+            pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))]
+            self.waiting.removeKey((bucket,))
+            yield self.frame(key, self.answer(pairs[:, 0].tolist(), pairs[:, 1].tolist()))
+        last = self.ended(watermark)
+        if last:
+            yield self.frame(key, last)
+
+    @staticmethod
+    def frame(key, columns: dict[str, list]) -> pd.DataFrame:
+        first, *others = columns
+        return pd.DataFrame({first: columns[first], "session_id": key[0], **{name: columns[name] for name in others}})
+
+    def close(self) -> None:
+        pass
+
+
+class SlidingLimit(InOrder):
     """Admits up to ``limit`` requests per session and window.
 
     State is the list of admitted times of the last window, at most ``limit``
-    long. A session's rows of one micro-batch are sorted in memory; the files
-    per batch bound them.
+    long.
     """
 
     def __init__(self, limit: int, seconds: int):
-        self.limit, self.seconds = limit, seconds
+        super().__init__(seconds)
+        self.limit = limit
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.log = handle.getListState("log", "micros bigint")
+    def open(self) -> None:
+        self.log = self.handle.getListState("log", "micros bigint")
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows)).sort_values(["micros", "event_id"])
-        log = [r[0] for r in self.log.get()]
-        span, allowed = self.seconds * 1_000_000, []
-        for at in batch["micros"].tolist():
-            log = [t for t in log if t >= at - span]
+    def answer(self, micros, events):
+        log, allowed = [r[0] for r in self.log.get()], []
+        for at in micros:
+            log = [t for t in log if t >= at - self.span]
             allowed.append(len(log) < self.limit)
             if allowed[-1]:
                 log.append(at)
         self.log.put([(t,) for t in log])
-        yield pd.DataFrame({"event_id": batch["event_id"], "session_id": key[0], "allowed": allowed})
+        return {"event_id": events, "allowed": allowed}
 
-    def close(self) -> None:
-        pass
-
-
-class AnswerOnce(StatefulProcessor):
-    """Marks requests that repeat an answer computed less than the TTL ago."""
 
-    def __init__(self, seconds: int):
-        self.seconds = seconds
+class AnswerOnce(InOrder):
+    """Marks requests that repeat an answer computed less than the time to live ago."""
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.since = handle.getValueState("since", "micros bigint")
+    def open(self) -> None:
+        self.since = self.handle.getValueState("since", "micros bigint")
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows)).sort_values(["micros", "event_id"])
+    def answer(self, micros, events):
         known = self.since.get()
-        since = known[0] if known is not None else None
-        ttl, answered = self.seconds * 1_000_000, []
-        for at in batch["micros"].tolist():
-            fresh = since is None or at - since >= ttl
+        since, answered = known[0] if known is not None else None, []
+        for at in micros:
+            fresh = since is None or at - since >= self.span
             if fresh:
                 since = at
             answered.append(fresh)
         self.since.update((since,))
-        yield pd.DataFrame({"event_id": batch["event_id"], "session_id": key[0], "answered": answered})
-
-    def close(self) -> None:
-        pass
+        return {"event_id": events, "answered": answered}
 
 
-class LiveSession(StatefulProcessor):
-    """Counts a session's events; the state disappears ``seconds`` after the last one."""
-
-    def __init__(self, seconds: int):
-        self.seconds = seconds
+class LiveSession(InOrder):
+    """Emits a session with its first and last event when it has been quiet for longer than the time to live.
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.count = handle.getValueState("count", "n bigint", ttlDurationMs=self.seconds * 1000)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        known = self.count.get()
-        n = (known[0] if known is not None else 0) + sum(len(r) for r in rows)
-        self.count.update((n,))
-        yield pd.DataFrame({"session_id": [key[0]], "events": [n]})
-
-    def close(self) -> None:
-        pass
-
-
-def with_state(events: DataFrame, processor: StatefulProcessor, schema: str, time_mode: str = "None") -> DataFrame:
-    """Applies a processor per session; the state lives in RocksDB.
-
-    A state with a time to live needs ``time_mode="ProcessingTime"``.
+    An event after such a gap starts the session again; a session whose time to
+    live the watermark has passed ends without one, and its state is gone.
     """
-    events.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
-    timed = events.withColumn("micros", F.unix_micros(F.col("ts").cast("timestamp"))).select("event_id", "session_id", "micros")
+
+    def open(self) -> None:
+        self.live = self.handle.getValueState("live", "started bigint, last bigint, events bigint")
+
+    def answer(self, micros, events):
+        live, ended = self.live.get(), []
+        for at in micros:
+            if live is not None and at - live[1] > self.span:
+                ended.append(live)
+                live = None
+            live = (at, at, 1) if live is None else (live[0], at, live[2] + 1)
+        self.live.update(live)
+        self.handle.registerTimer((live[1] + self.span) // 1000 + 1)
+        return self.rows(ended)
+
+    def ended(self, watermark):
+        live = self.live.get()
+        if live is not None and live[1] + self.span < watermark:
+            self.live.clear()
+            return self.rows([live])
+
+    @staticmethod
+    def rows(ended) -> dict[str, list]:
+        return {name: [row[i] for row in ended] for i, name in enumerate(("started", "ended", "events"))}
+
+
+def with_state(events: DataFrame, processor: StatefulProcessor, schema: str, late: str) -> DataFrame:
+    """Applies a processor per session in event time; rows more than ``late`` behind the newest one are dropped."""
+    timed = events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late)
+    timed = timed.select("event_id", "session_id", "ts", F.unix_micros("ts").alias("micros"))
     return timed.groupBy("session_id").transformWithStateInPandas(
-        statefulProcessor=processor, outputStructType=schema, outputMode="update", timeMode=time_mode
+        statefulProcessor=processor, outputStructType=schema, outputMode="update", timeMode="EventTime"
     )
