@@ -17,6 +17,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from functools import cache
 from itertools import chain
 
 import numpy as np
@@ -27,8 +28,8 @@ from pyspark.sql import DataFrame, functions as F
 from starloom.llm import words as W
 from starloom.llm.tables import id_text, rebatched
 
-#: Words whose ids a task remembers.
-REMEMBERED = 150_000
+#: Words whose ids a task remembers (about 60 bytes each), and runs of letters (200).
+REMEMBERED, REMEMBERED_RUNS = 400_000, 150_000
 #: Tokens that wait in a task before sequences are filled from them.
 WAITING = 400_000
 #: Words of letters that have one lower-case form of one code point, and a mark that is a token of its own after them.
@@ -42,30 +43,45 @@ def byte_alphabet() -> dict[int, str]:
     return {b: chr(b) for b in seen} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
+@cache
+def tokenizers(path: str) -> tuple:
+    """The tokenizer, one that takes runs of letters as they are, and which ids end a word (None if they are not marked).
+
+    A worker process loads them once.
+    """
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer, normalizers, pre_tokenizers
+
+    whole, runs, ends = Tokenizer.from_file(path), Tokenizer.from_file(path), None
+    runs.normalizer, runs.pre_tokenizer = normalizers.Sequence([]), pre_tokenizers.WhitespaceSplit()
+    suffix = getattr(whole.model, "end_of_word_suffix", None)
+    if suffix:
+        vocabulary = whole.get_vocab()
+        ends = np.zeros(1 + max(vocabulary.values()), bool)
+        ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+    return whole, runs, ends
+
+
 class WordIds:
     """Token ids of texts whose tokenizer never joins characters across white space.
 
     Distinct words are encoded once and remembered; a text's ids are those of
-    its words in order, then ``end_id``. Plain words go to the tokenizer's
-    model at once, if some trials agree: it then lower-cases, takes a run of
-    letters as one piece, and writes bytes as characters.
+    its words in order, then ``end_id``. Plain words skip the tokenizer's
+    normalising and splitting, if some trials agree: it then lower-cases, takes
+    a run of letters as one piece, writes bytes as characters, and marks the
+    last id of a word, which tells many runs encoded at once apart.
     """
 
     def __init__(self, path: str, end_id: int):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer, self.end_id = Tokenizer.from_file(path), end_id
-        self.model, self.separators = self.tokenizer.model, W.space_separated()
+        self.tokenizer, self.runs, self.ends = tokenizers(path)
+        self.end_id, self.separators = end_id, W.space_separated()
         self.tail = {"": (), **{x: tuple(self.tokenizer.encode(x, add_special_tokens=False).ids) for x in ".,"}}
-        self.alphabet = byte_alphabet()
-        ids = lambda word: tuple(self.tokenizer.encode(word, add_special_tokens=False).ids)
-        self.plain = all(self._core(w.lower()) == ids(w) for w in ("Word", "naïve", "ÀÉÍ", "straße", "qzxj")) and all(
-            ids(f"word{x}") == ids("word") + ids(x) for x in ".,")
+        self.bytes_apart = {b: c for b, c in byte_alphabet().items() if b != 0x20}  # a space stands between runs
         self.forget()
-
-    def _core(self, word: str) -> tuple:
-        return tuple(t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(self.alphabet)))
+        ids = lambda word: tuple(self.tokenizer.encode(word, add_special_tokens=False).ids)
+        trials = ["word", "naïve", "àéí", "straße", "qzxj", "a"]
+        self.plain = self.ends is not None and self._learn(trials) and all(
+            self.core[w] == ids(w) == ids(w.title()) and all(ids(w + x) == self.core[w] + self.tail[x] for x in ".,") for w in trials)
 
     def forget(self) -> None:
         self.core: dict[str, tuple] = {}
@@ -75,23 +91,38 @@ class WordIds:
 
     def _encode(self, words: list[str]) -> list[tuple]:
         out: list = [None] * len(words)
-        other = []
+        other, cores, tails = [], [], []
         for i, word in enumerate(words):
-            plain = PLAIN.fullmatch(word)
-            if plain is None or not self.plain:
+            plain = PLAIN.fullmatch(word) if self.plain else None
+            if plain is None:
                 other.append(i)
-                continue
-            core = plain[1].lower()
-            ids = self.core.get(core)
-            if ids is None:
-                ids = self.core[core] = self._core(core)
-            out[i] = ids + self.tail[plain[2]]
+            else:
+                cores.append(plain[1].lower())
+                tails.append((i, plain[2]))
+        if len(self.core) > REMEMBERED_RUNS:
+            self.core.clear()
+        if not self._learn(list({core: None for core in cores if core not in self.core})):
+            raise ValueError("the tokenizer marks the ends of some words only")
+        for (i, tail), core in zip(tails, cores):
+            out[i] = self.core[core] + self.tail[tail] if tail else self.core[core]
         for at in range(0, len(other), 2000):
             part = other[at:at + 2000]
             for i, found in zip(part, self.tokenizer.encode_batch([words[i] for i in part], add_special_tokens=False)):
                 out[i] = tuple(found.ids)
         return out
 
+    def _learn(self, cores: list[str]) -> bool:
+        """Encodes lower-case runs of letters, many at once; False if their ids cannot be told apart."""
+        parts = [cores[at:at + 50] for at in range(0, len(cores), 50)]
+        texts = [" ".join(part).encode().decode("latin-1").translate(self.bytes_apart) for part in parts]
+        for part, found in zip(parts, self.runs.encode_batch_fast(texts, add_special_tokens=False)):
+            ids = found.ids
+            ends = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+            if len(ends) != len(part):
+                return False
+            self.core.update((core, tuple(ids[a:b])) for core, a, b in zip(part, [0, *ends[:-1]], ends))
+        return True
+
     def _slots(self, hashes: np.ndarray, chunk: W.Chunk, first: np.ndarray) -> np.ndarray:
         """Slots of distinct words; new ones are encoded."""
         at = np.minimum(np.searchsorted(self.known, hashes), max(0, len(self.known) - 1))
@@ -103,9 +134,8 @@ class WordIds:
             self.at = np.concatenate([self.at, len(self.pool) + np.cumsum(size) - size])
             self.size = np.concatenate([self.size, size])
             self.pool = np.concatenate([self.pool, np.fromiter(chain.from_iterable(encoded), np.uint32, int(size.sum()))])
-            known = np.concatenate([self.known, hashes[new]])
-            order = np.argsort(known, kind="stable")
-            self.known, self.slot = known[order], np.concatenate([self.slot, slots])[order]
+            place = np.searchsorted(self.known, hashes[new])  # both are sorted
+            self.known, self.slot = np.insert(self.known, place, hashes[new]), np.insert(self.slot, place, slots)
         return self.slot[np.searchsorted(self.known, hashes)]
 
     def rows(self, texts: pa.Array) -> Iterator[np.ndarray]:
