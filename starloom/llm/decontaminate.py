@@ -7,7 +7,10 @@ one alignment (the positional bound); windows that would leave the document are
 dropped (the length bound); window hashes, then the words themselves, decide.
 
 The items are a query set held against all documents in blocks of bounded size.
-Null texts have no words; rows with equal ids are judged each on its own.
+Null texts have no words; rows with equal ids are judged each on its own; an
+item without an id hits words but is in no list of items. Very long texts are
+searched whole. Other columns are ignored, or carried along by
+:func:`without_contaminated`.
 """
 
 from __future__ import annotations
@@ -51,7 +54,7 @@ def item_windows(items: list[tuple], size: int) -> dict[tuple, set[str]]:
         for chunk in W.chunks(pa.array([text], pa.string()), word, lower):
             words = [chunk.word(i) for i in range(len(chunk.starts))]
             for i in range(max(1, len(words) - size + 1) if words else 0):
-                found.setdefault(tuple(words[i:i + size]), set()).add(str(key))
+                found.setdefault(tuple(words[i:i + size]), set()).update([] if key is None else [str(key)])
     return found
 
 
@@ -161,6 +164,49 @@ def _scan(docs: DataFrame, index: Index, key: str, spark: SparkSession) -> DataF
     return docs.select(key, "text").mapInArrow(scan, f"{key} {kind}, n_words bigint, hits {_HITS}, items array<string>")
 
 
+def _indexes(docs: DataFrame, bench: DataFrame, window: int, blocks: int, spark: SparkSession) -> Iterator[Index]:
+    """One index per block of items; a block's items pass the driver, ``BLOCK_CHARS`` characters of them."""
+    for block in range(blocks):
+        mine = bench.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == block)
+        windows = item_windows([tuple(r) for r in mine.collect()], window)
+        vocabulary = np.unique(word_hashes(sorted({w for x in windows for w in x}))) if windows else np.zeros(0, np.uint64)
+        yield build(windows, _frequencies(docs, vocabulary, spark) if windows else {})
+
+
+def _items(benchmark: DataFrame, item_column: str, item_text: str, block_chars: int) -> tuple[DataFrame, int]:
+    """The items with a text, and the number of blocks that they need."""
+    bench = benchmark.select(F.col(item_column).alias("item"), F.col(item_text).alias("text")).where("text IS NOT NULL")
+    return bench, 1 + (bench.agg(F.sum(F.length("text"))).first()[0] or 0) // block_chars
+
+
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10, text_column: str = "text",
+                         item_column: str = "item_id", item_text: str = "text", block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """The rows of ``docs``, with all their columns, in which no item window occurs.
+
+    Rows are judged where they are, one block of items after the other, so
+    nothing is shuffled and ids do not matter; null texts stay.
+    """
+    spark = docs.sparkSession
+    bench, blocks = _items(benchmark, item_column, item_text, block_chars)
+    texts = docs.select(F.col(text_column).alias("text"))
+    for index in _indexes(texts, bench, window, blocks, spark):
+        docs = _filtered(docs, text_column, send(spark, index))
+    return docs
+
+
+def _filtered(docs: DataFrame, text_column: str, held) -> DataFrame:
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index, lower, word = received(held), W.lower_ascii(), W.alphanumeric()
+        for batch in rebatched(batches):
+            keep = np.ones(batch.num_rows, bool)
+            for chunk in W.chunks(batch.column(batch.schema.get_field_index(text_column)), word, lower):
+                start, _ = occurrences(chunk, index)
+                keep[chunk.first + np.searchsorted(chunk.bounds, start, side="right") - 1] = False
+            yield batch.filter(pa.array(keep))
+
+    return docs.mapInArrow(clean, docs.schema)
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_column: str = "doc_id", text_column: str = "text",
                   item_column: str = "item_id", item_text: str = "text", block_chars: int = BLOCK_CHARS) -> DataFrame:
     """``doc_id``, ``n_words``, the word ranges ``hits`` covered by item windows, and the ids of their ``items``.
@@ -169,18 +215,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_co
     """
     spark = docs.sparkSession
     docs = id_text(docs, id_column, text_column)
-    bench = benchmark.select(F.col(item_column).alias("item"), F.col(item_text).alias("text")).where("text IS NOT NULL")
-    chars = bench.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = 1 + chars // block_chars
+    bench, blocks = _items(benchmark, item_column, item_text, block_chars)
     if blocks > 1:
         docs = stored(docs.withColumn("row", F.monotonically_increasing_id()), "decontaminate")
-    parts = []
-    for block in range(blocks):
-        mine = bench.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == block)
-        windows = item_windows([tuple(r) for r in mine.collect()], window)
-        vocabulary = np.unique(word_hashes(sorted({w for x in windows for w in x}))) if windows else np.zeros(0, np.uint64)
-        index = build(windows, _frequencies(docs, vocabulary, spark) if windows else {})
-        parts.append(_scan(docs, index, "doc_id" if blocks == 1 else "row", spark))
+    parts = [_scan(docs, index, "doc_id" if blocks == 1 else "row", spark) for index in _indexes(docs, bench, window, blocks, spark)]
     if blocks == 1:
         return parts[0]
     joined = reduce(DataFrame.unionAll, parts).groupBy("row").agg(

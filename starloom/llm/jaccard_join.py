@@ -36,6 +36,8 @@ from starloom.llm.tables import Scratch, id_text, matching, rebatched, received,
 KEYS, MINIMA = 8, 3
 #: A shingle in this share of all documents goes last in the order.
 COMMON = 0.001
+#: Rows with texts that go to Python at once.
+TEXT_ROWS = 2000
 #: Words of a bitmap that an entry of a tile carries at most, a power of two.
 TILE_WORDS = 16
 #: Documents of a task below which a shingle is not called common.
@@ -258,8 +260,10 @@ def _tiled(reps: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
 def similar_groups(docs: DataFrame, k: int = 4, percent: int = 85, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id`` (smallest id reachable by links) for every row."""
     docs = id_text(docs, id_column, text_column).withColumn("doc_id", F.col("doc_id").cast("long"))
-    scratch = Scratch(docs.sparkSession, "jaccard")
-    profiles = scratch.store(_profiles(docs, k, percent, _common(docs, k)), "profiles")
+    scratch = Scratch(docs.sparkSession, "jaccard", TEXT_ROWS)
+    with scratch.configured():
+        common = _common(docs, k)
+    profiles = scratch.store(_profiles(docs, k, percent, common), "profiles")
     whole = profiles.where("n > 0 AND doc_id IS NOT NULL")
     if not whole.groupBy("doc_id").count().where("count > 1").isEmpty():
         docs = docs.dropDuplicates(["doc_id"])
@@ -281,7 +285,7 @@ def similar_groups(docs: DataFrame, k: int = 4, percent: int = 85, id_column: st
     scratch.drop(profiles, stars)
     tiled = scratch.store(_tiled(ranked, percent, scratch), "tiled")
     scratch.drop(ranked)
-    final = components(links.unionAll(verified(tiled, docs, k, percent)))
+    final = components(links.unionAll(scratch.store(verified(tiled, docs, k, percent), "links")))
     named = classes.join(final.withColumnRenamed("id", "rep"), "rep", "left").select(
         "s1", "s2", F.coalesce("component", "rep").alias("component"))
     return sizes.join(named, ["s1", "s2"], "left").select(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from starloom.session import scratch_path
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 #: Ids that may be broadcast to find rows by id: 8 bytes each, 16 MB.
 BROADCAST_IDS = 2_000_000
@@ -76,21 +78,31 @@ class Scratch:
     and tables go when no later step reads them.
     """
 
-    def __init__(self, spark: SparkSession, label: str):
+    def __init__(self, spark: SparkSession, label: str, arrow_rows: int | None = None):
+        """``arrow_rows`` bounds the rows of a batch that goes to Python; rows with whole texts need fewer than Spark's 10,000."""
         self.spark, self.folder, self.paths, self.count = spark, scratch_path(spark, label), {}, 0
+        self.settings = {CLEANUP: "true"} | ({ARROW_ROWS: str(arrow_rows)} if arrow_rows else {})
+
+    @contextmanager
+    def configured(self):
+        """The settings of this object's jobs, for as long as they run."""
+        before = {key: self.spark.conf.get(key, None) for key in self.settings}
+        try:
+            for key, value in self.settings.items():
+                self.spark.conf.set(key, value)
+            yield
+        finally:
+            for key, value in before.items():
+                if value is None:
+                    self.spark.conf.unset(key)
+                else:
+                    self.spark.conf.set(key, value)
 
     def store(self, df: DataFrame, name: str) -> DataFrame:
         self.count += 1
         path = f"{self.folder}/{name}-{self.count}"
-        before = self.spark.conf.get(CLEANUP, None)
-        self.spark.conf.set(CLEANUP, "true")
-        try:
+        with self.configured():
             df.write.parquet(path)
-        finally:
-            if before is None:
-                self.spark.conf.unset(CLEANUP)
-            else:
-                self.spark.conf.set(CLEANUP, before)
         table = self.spark.read.schema(df.schema).parquet(path)
         self.paths[id(table)] = (path, table)
         return table

@@ -13,6 +13,7 @@ from math import log10
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from starloom.llm import (components, decontaminate, jaccard_join, language_id, lm_scoring, packing, quality_rules,
                           secret_scan, substring_dedup, toxicity, url_filter, words)
@@ -414,3 +415,27 @@ def test_pipeline(docs, spark):
     found = {r.doc_id: r.text for r in kept.collect()}
     assert not {0, 1, 2, 6, 7, 9} & set(found) and {5, 12} <= set(found)
     assert "abcdefgh12" not in found.get(50, "")
+
+
+def test_pipeline_keeps_clashing_columns_and_judges_rows_without_an_id(spark):
+    import corpus_pipeline
+
+    folder = "/root/testdata/sf0.001"
+    bench = spark.read.parquet(f"{folder}/benchmark.parquet").where("length(text) > 100").first().text
+    base = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text", "lang", F.lit("mine").alias("found_lang"), F.lit(1).alias("Found_Score"))
+    rows = base.union(spark.createDataFrame([(None, bench, "en", "leak", 1)], base.schema))
+    known = corpus_pipeline.keep_known_languages(spark, rows, folder)
+    assert known.columns == rows.columns and known.where("found_lang = 'mine'").count() > 0
+    kept = corpus_pipeline.drop_contaminated(spark, rows, folder)
+    assert kept.columns == rows.columns and kept.where("found_lang = 'leak'").count() == 0 < kept.count()
+
+
+def test_rows_without_an_id_are_judged_in_place(spark):
+    item = " ".join(f"word{i}" for i in range(12))
+    rows = [(None, f"before {item} after", 1), (None, "clean text", 2), (3, None, 3), (3, item.upper(), 4), (4, "", 5)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, found_lang int")
+    items = spark.createDataFrame([(1, item), (2, None), (None, "another item of quite a few words that nobody has written yet")], "item_id bigint, text string")
+    for block_chars in (10, 1 << 20):
+        kept = decontaminate.without_contaminated(docs, items, block_chars=block_chars)
+        assert kept.columns == docs.columns and sorted(r.found_lang for r in kept.collect()) == [2, 3, 5]
+    assert decontaminate.without_contaminated(docs, items.limit(0)).count() == 5
