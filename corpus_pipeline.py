@@ -17,7 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starloom.llm import decontaminate, jaccard_join, language_id, packing, secret_scan
-from starloom.llm.tables import Scratch, crc_part, read
+from starloom.llm.tables import Scratch, crc_part, matching, read, stored
 
 #: Least probability of the language; texts without letters have none.
 LEAST_PROBABILITY = 0.5
@@ -27,11 +27,20 @@ NEAR_WORDS, NEAR_PERCENT = 5, 80
 ORACLE_SQL = None
 
 
+def free_name(docs: DataFrame, name: str) -> str:
+    """``name``, with marks added until no column has it."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents whose language the model does not tell: null and letterless texts, and unsure ones."""
     model = language_id.train(docs.where(crc_part(F.col("doc_id"), 3) != 1))
-    known = language_id.identify(spark, docs, model, lang_name="found_lang", score_name="found_score")
-    return known.where((F.col("found_lang") != "und") & (F.col("found_score") >= LEAST_PROBABILITY)).drop("found_lang", "found_score")
+    lang, score = free_name(docs, "found_lang"), free_name(docs, "found_score")
+    known = language_id.identify(spark, docs, model, lang_name=lang, score_name=score)
+    return known.where((F.col(lang) != "und") & (F.col(score) >= LEAST_PROBABILITY)).drop(lang, score)
 
 
 def keep_one_of_a_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,15 +50,13 @@ def keep_one_of_a_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     words are in no group and stay, and so do rows without an id.
     """
     groups = jaccard_join.similar_groups(docs, k=NEAR_WORDS, percent=NEAR_PERCENT)
-    copies = groups.where("doc_id IS NOT NULL AND doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+    copies = stored(groups.where("doc_id IS NOT NULL AND doc_id <> component_id").select("doc_id").distinct(), "copies")
+    return matching(docs, copies, copies.count(), "left_anti").select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold a window of a benchmark item."""
-    found = decontaminate.contamination(docs, read(spark, sf_dir, "benchmark", "item_id", "text"))
-    hit = decontaminate.digest(found).where("contaminated").select("doc_id").distinct()
-    return docs.join(hit, "doc_id", "left_anti").select(*docs.columns)
+    """Drops documents that hold a window of a benchmark item, with or without an id."""
+    return decontaminate.without_contaminated(docs, read(spark, sf_dir, "benchmark", "item_id", "text"))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
