@@ -29,7 +29,7 @@ from starloom.llm import words as W
 from starloom.llm.tables import id_text, rebatched
 
 #: Words whose ids a task remembers (about 60 bytes each), and runs of letters (200).
-REMEMBERED, REMEMBERED_RUNS = 400_000, 150_000
+REMEMBERED, REMEMBERED_RUNS = 250_000, 100_000
 #: Tokens that wait in a task before sequences are filled from them.
 WAITING = 400_000
 #: Words of letters that have one lower-case form of one code point, and a mark that is a token of its own after them.
@@ -44,22 +44,22 @@ def byte_alphabet() -> dict[int, str]:
 
 
 @cache
-def tokenizers(path: str) -> tuple:
-    """The tokenizer, one that takes runs of letters as they are, and which ids end a word (None if they are not marked).
+def tokenizer(path: str) -> tuple:
+    """The tokenizer, its normaliser and splitter, those that take runs of letters as they are, and which ids end a word.
 
-    A worker process loads them once.
+    A worker process loads it once, and switches the parts instead of holding
+    two vocabularies. The last is None if the ends of words are not marked.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-    whole, runs, ends = Tokenizer.from_file(path), Tokenizer.from_file(path), None
-    runs.normalizer, runs.pre_tokenizer = normalizers.Sequence([]), pre_tokenizers.WhitespaceSplit()
-    suffix = getattr(whole.model, "end_of_word_suffix", None)
+    found, ends = Tokenizer.from_file(path), None
+    suffix = getattr(found.model, "end_of_word_suffix", None)
     if suffix:
-        vocabulary = whole.get_vocab()
+        vocabulary = found.get_vocab()
         ends = np.zeros(1 + max(vocabulary.values()), bool)
         ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
-    return whole, runs, ends
+    return found, (found.normalizer, found.pre_tokenizer), (normalizers.Sequence([]), pre_tokenizers.WhitespaceSplit()), ends
 
 
 class WordIds:
@@ -73,7 +73,7 @@ class WordIds:
     """
 
     def __init__(self, path: str, end_id: int):
-        self.tokenizer, self.runs, self.ends = tokenizers(path)
+        self.tokenizer, self.whole, self.runs, self.ends = tokenizer(path)
         self.end_id, self.separators = end_id, W.space_separated()
         self.tail = {"": (), **{x: tuple(self.tokenizer.encode(x, add_special_tokens=False).ids) for x in ".,"}}
         self.bytes_apart = {b: c for b, c in byte_alphabet().items() if b != 0x20}  # a space stands between runs
@@ -115,7 +115,12 @@ class WordIds:
         """Encodes lower-case runs of letters, many at once; False if their ids cannot be told apart."""
         parts = [cores[at:at + 50] for at in range(0, len(cores), 50)]
         texts = [" ".join(part).encode().decode("latin-1").translate(self.bytes_apart) for part in parts]
-        for part, found in zip(parts, self.runs.encode_batch_fast(texts, add_special_tokens=False)):
+        try:
+            self.tokenizer.normalizer, self.tokenizer.pre_tokenizer = self.runs
+            encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        finally:
+            self.tokenizer.normalizer, self.tokenizer.pre_tokenizer = self.whole
+        for part, found in zip(parts, encoded):
             ids = found.ids
             ends = (np.flatnonzero(self.ends[ids]) + 1).tolist()
             if len(ends) != len(part):
