@@ -17,16 +17,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starloom.llm import decontaminate, jaccard_join, language_id, packing, secret_scan
-from starloom.llm.tables import Scratch, crc_part, matching, read, stored
+from starloom.llm.tables import ARROW_ROWS, Scratch, crc_part, matching, read, stored
 
 #: Least probability of the language; texts without letters have none.
 LEAST_PROBABILITY = 0.5
 #: Near copies share this part of their shingles of so many words (``op9`` has its own figures).
 NEAR_WORDS, NEAR_PERCENT = 5, 80
 
+#: Documents that go to Python at once.
+BATCH_ROWS = 1000
+
 ORACLE_SQL = None
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Sends fewer rows to Python at once than Spark's default of 10,000, as the rows of this application hold whole texts."""
+    if spark.conf.get(ARROW_ROWS) == "10000":
+        spark.conf.set(ARROW_ROWS, str(BATCH_ROWS))
+
+
 def free_name(docs: DataFrame, name: str) -> str:
     """``name``, with marks added until no column has it."""
     taken = {c.lower() for c in docs.columns}
@@ -37,6 +46,7 @@ def free_name(docs: DataFrame, name: str) -> str:
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents whose language the model does not tell: null and letterless texts, and unsure ones."""
+    small_batches(spark)
     model = language_id.train(docs.where(crc_part(F.col("doc_id"), 3) != 1))
     lang, score = free_name(docs, "found_lang"), free_name(docs, "found_score")
     known = language_id.identify(spark, docs, model, lang_name=lang, score_name=score)
@@ -49,6 +59,7 @@ def keep_one_of_a_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     Rows that share an id are one document and stay together. Documents without
     words are in no group and stay, and so do rows without an id.
     """
+    small_batches(spark)
     groups = jaccard_join.similar_groups(docs, k=NEAR_WORDS, percent=NEAR_PERCENT)
     copies = stored(groups.where("doc_id IS NOT NULL AND doc_id <> component_id").select("doc_id").distinct(), "copies")
     return matching(docs, copies, copies.count(), "left_anti").select(*docs.columns)
@@ -56,11 +67,13 @@ def keep_one_of_a_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a window of a benchmark item, with or without an id."""
+    small_batches(spark)
     return decontaminate.without_contaminated(docs, read(spark, sf_dir, "benchmark", "item_id", "text"))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Masks secrets in the text; ``n_chars`` follows the new text."""
+    small_batches(spark)
     masked = secret_scan.mask_secrets(docs)
     return masked.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else masked
 
@@ -68,6 +81,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
+    small_batches(spark)
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
