@@ -272,9 +272,9 @@ def _(spark, folder):
 
 cte("knn_lists", """
 SELECT user_id, item_id, rank FROM (
-  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY round(predicted, 9) DESC, item_id) AS rank FROM item_candidates)
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY round(predicted, 9) DESC, item_id) AS rank FROM item_complete)
 WHERE rank <= 10
-""", "item_candidates")
+""", "item_complete")
 names_cte("knn_names", "knn_lists", "liked", "content_sims", 2, CONTENT_EXPLAIN)
 
 
