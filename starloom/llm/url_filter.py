@@ -1,14 +1,16 @@
 """URL filters: rules, and an empirical-Bayes host reputation where no rule fits.
 
-Labelled pages (blocked or not) are counted by host. The share of blocked pages
-of a host is shrunk towards its registered domain (the last two labels), that
-one's towards its suffix (the last label), and a suffix starts even. How
+Every page of a host is a trial, and one that a rule blocks is a bad outcome;
+pages that no rule decides are trials without a bad outcome, so a host is not
+condemned by the pages of it that a rule happens to name. The share of bad
+pages of a host is shrunk towards its registered domain (the last two labels),
+that one's towards its suffix (the last label), and a suffix starts even. How
 strongly is read off the data: each level's overdispersion against its parent
 gives the weight of the beta-binomial prior. A host is blocked when the lower
 posterior bound of its share passes a threshold.
 
 A null url, or one without ``://``, has an empty host and path; its reputation
-is even. Without labelled pages nothing is blocked. Repeated urls
+is even. Without outcomes nothing is blocked. Repeated urls
 are pages each on their own; columns other than id and url are ignored.
 """
 
@@ -91,13 +93,13 @@ def judge(pages: DataFrame, id_column: str = "page_id", url_column: str = "url",
           labelled: DataFrame | None = None) -> DataFrame:
     """Verdict on every page: the rule's, else its host's reputation.
 
-    ``labelled`` gives the outcomes (``host``, ``bad``); by default the pages
-    that a rule decides are the labelled ones.
+    ``labelled`` gives the outcomes (``host``, ``bad``); by default every page
+    is one, bad where a rule blocks it.
     """
     host, path = host_and_path(F.col(url_column))
     urls = with_rule(pages.select(F.col(id_column).alias("page_id"), host.alias("host"), path.alias("path")), rules)
     if labelled is None:
-        labelled = urls.where("rule IS NOT NULL").select("host", (F.col("rule_verdict") == "block").cast("long").alias("bad"))
+        labelled = urls.select("host", F.expr("rule_verdict <=> 'block'").cast("long").alias("bad"))
     known = reputation(labelled, urls)
     return urls.join(known, "host").select(
         "page_id", "host", "path", "rule",
@@ -118,7 +120,7 @@ def oracle() -> str:
                   regexp_extract(r, '\\A[^/?#]*([^?#]*)', 1) AS path FROM rest),
     urls AS (SELECT *, CASE {rule} END AS rule, CASE {verdict} END AS said FROM split),
     hosts AS (SELECT host, string_split(host, '.')[-1] AS suffix, array_to_string(string_split(host, '.')[-2:], '.') AS domain,
-                  (count(*) FILTER (WHERE rule IS NOT NULL))::DOUBLE AS n, (count(*) FILTER (WHERE said = 'block'))::DOUBLE AS k
+                  count(*)::DOUBLE AS n, (count(*) FILTER (WHERE said = 'block'))::DOUBLE AS k
               FROM urls GROUP BY host),
     s1 AS (SELECT suffix, (sum(k) + 1) / (sum(n) + 2) AS sm FROM hosts GROUP BY suffix),
     d0 AS (SELECT domain, sum(n) AS n, sum(k) AS k, any_value(sm) AS m FROM hosts JOIN s1 USING (suffix) GROUP BY domain),

@@ -196,6 +196,16 @@ def test_urls(spark):
     assert url_filter.judge(spark.createDataFrame([], "page_id bigint, url string")).count() == 0
 
 
+def test_pages_without_a_rule_are_trials(spark):
+    urls = [f"http://{host}.net/{path}/" for host, bad, clean in (("mostly-bad", 40, 4), ("mostly-clean", 4, 40), ("half", 20, 20))
+            for path in ["es"] * bad + ["en"] * clean]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")
+    open_ones = url_filter.judge(pages).where("rule IS NULL").select("host", "verdict").distinct().collect()
+    assert {tuple(r) for r in open_ones} == {("mostly-bad.net", "block"), ("mostly-clean.net", "allow"), ("half.net", "allow")}
+    with_null = pages.unionByName(spark.createDataFrame([(None, None), (1000, "")], "page_id bigint, url string"))
+    assert url_filter.judge(with_null).count() == len(urls) + 2
+
+
 def test_substrings(docs, empty):
     n = 35
     count = Counter()
