@@ -25,6 +25,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 
 from starloom.functions.scores import top_n
+from starloom.session import materialize
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -83,8 +84,11 @@ def plan_layout(vectors: DataFrame, hot_rows: int = HOT_ROWS, block_ids: int = B
 
 
 def unit(vectors: DataFrame) -> DataFrame:
-    """Scales every vector to length one; zero vectors disappear."""
-    norms = vectors.groupBy("id").agg(F.sqrt(F.sum(F.col("val") * F.col("val"))).alias("norm"))
+    """Scales every vector to length one; zero vectors disappear.
+
+    The lengths are stored, so that the join can split a very long vector.
+    """
+    norms = materialize(vectors.groupBy("id").agg(F.sqrt(F.sum(F.col("val") * F.col("val"))).alias("norm")), "norms")
     return vectors.join(norms.where("norm > 0"), "id").select("id", "dim", (F.col("val") / F.col("norm")).alias("val"))
 
 

@@ -6,13 +6,13 @@
 from __future__ import annotations
 
 import sys
-from collections import deque
 
-import pandas as pd
+import numpy as np
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from starloom.functions.scores import half_even
+from starloom.session import materialize
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -28,6 +28,7 @@ FEW = "More ratings will improve recommendation accuracy. Consider rating more m
 SUSPICIOUS = "Suspicious rating patterns detected"
 OVER_LIMIT = "Rate limit exceeded"
 BLOCKED = "Session blocked due to suspicious activity"
+_LONG_AGO = -(1 << 62)
 
 
 def rating_patterns(ratings: DataFrame) -> DataFrame:
@@ -169,59 +170,96 @@ def blocked_requests(requests: DataFrame, limit: int = 100, seconds: int = 3600)
     return judged.select("event_id", "session_id", open_.alias("allowed"), reason.alias("reason"))
 
 
-def _in_order(events: DataFrame, key: str) -> DataFrame:
-    """Rows of a key together and in time order; nothing is collected."""
-    return events.repartition(key).sortWithinPartitions(key, "ts", "event_id")
+def _pieces(events: DataFrame, key: str, span: int, closed: bool) -> DataFrame:
+    """``event_id``, the key, ``at`` (microseconds) and ``piece``, the start of the event's stretch without a gap.
+
+    A gap longer than ``span`` (or as long, if ``closed``) leaves nothing of the
+    state before it, so the stretches are independent. Gaps that long lie
+    between time buckets of ``span``, so they are found from the first and
+    last time per key and bucket: a busy session is one row per bucket there.
+    """
+    timed = events.select("event_id", key, F.unix_micros(F.col("ts").cast("timestamp")).alias("at"))
+    timed = timed.withColumn("bucket", F.floor(F.col("at") / F.lit(span)))
+    edges = timed.groupBy(key, "bucket").agg(F.min("at").alias("first"), F.max("at").alias("last"))
+    along = Window.partitionBy(key).orderBy("bucket")
+    gap = F.col("first") - F.lag("last").over(along)
+    start = F.when(F.coalesce(gap >= span if closed else gap > span, F.lit(True)), F.col("first"))
+    starts = edges.withColumn("start", start).select(
+        F.col(key).alias("_key"), F.col("bucket").alias("_bucket"), F.max("start").over(along).alias("piece"))
+    # stored, so that a hot bucket is a skewed side of a join with a table
+    starts = materialize(starts, "pieces")
+    joined = timed.join(starts, (F.col(key) == F.col("_key")) & (F.col("bucket") == F.col("_bucket")))
+    return joined.select("event_id", key, "at", "piece")
+
+
+def _granted(events: DataFrame, key: str, limit: int, span: int, closed: bool, name: str) -> DataFrame:
+    """``name``: whether an event is granted, when at most ``limit`` granted ones may lie within ``span``.
+
+    Each answer depends on the ones before it in its stretch. A task reads
+    stretches as sorted streams; the next ``limit`` grants are found at once,
+    each at the first event after the one before it that is also past the end
+    of the grant ``limit`` places back. Refused events are jumped over.
+    """
+    side = "left" if closed else "right"
+
+    def answers(batches):
+        last, log = None, np.full(limit, _LONG_AGO)
+        places = np.arange(limit)
+        for batch in batches:
+            at = batch["at"].to_numpy()
+            flag = np.zeros(len(at), bool)
+            keys, numbers = batch[key].to_numpy(), batch["piece"].to_numpy()
+            new = np.ones(len(at), bool)
+            new[1:] = (keys[1:] != keys[:-1]) | (numbers[1:] != numbers[:-1])
+            starts = np.flatnonzero(new)
+            for a, b in zip(starts, np.append(starts[1:], len(at))):
+                # a stretch may go on in the next batch
+                if (keys[a], numbers[a]) != last:
+                    last, log = (keys[a], numbers[a]), np.full(limit, _LONG_AGO)
+                times, free = at[a:b], 0
+                while free < len(times):
+                    floor = np.maximum(np.searchsorted(times, log + span, side), free)
+                    next_ = np.maximum.accumulate(floor - places) + places
+                    next_ = next_[next_ < len(times)]
+                    if not len(next_):
+                        break
+                    flag[a + next_] = True
+                    log = np.concatenate([log[len(next_):], times[next_]])
+                    free = int(next_[-1]) + 1
+            yield batch[["event_id", key]].assign(**{name: flag})
+
+    events = events.select("event_id", key, "ts")
+    whole = F.col(key).isNotNull() & F.col("ts").isNotNull()
+    pieces = _pieces(events.where(whole), key, span, closed)
+    rows = pieces.repartition(key, "piece").sortWithinPartitions(key, "piece", "at", "event_id")
+    key_type = events.schema[key].dataType.simpleString()
+    found = rows.mapInPandas(answers, f"event_id bigint, {key} {key_type}, {name} boolean")
+    return found.unionByName(events.where(~whole).select("event_id", key, F.lit(True).alias(name)))
 
 
 def sliding_limit(requests: DataFrame, limit: int = 100, seconds: int = 3600) -> DataFrame:
     """``allowed`` under a sliding log of admitted requests only.
 
-    Refused requests are not logged, so each answer depends on the earlier
-    ones; a task reads a session's rows as a sorted stream and keeps at most
-    ``limit`` times.
+    Refused requests are not logged, so each answer depends on the earlier ones
+    back to the last gap longer than ``seconds``. A session is cut there, and its
+    stretches are answered by different tasks; each keeps ``limit`` times.
+    A request without a session or time is admitted.
     """
-    span = pd.Timedelta(seconds=seconds)
-
-    def admit(batches):
-        session, log = None, deque()
-        for batch in batches:
-            allowed = []
-            for key, at in zip(batch["session_id"], batch["ts"]):
-                if key != session:
-                    session, log = key, deque()
-                while log and log[0] < at - span:
-                    log.popleft()
-                allowed.append(len(log) < limit)
-                if allowed[-1]:
-                    log.append(at)
-            yield batch[["event_id", "session_id"]].assign(allowed=allowed)
-
-    rows = _in_order(requests.select("event_id", "session_id", "ts"), "session_id")
-    return rows.mapInPandas(admit, "event_id bigint, session_id bigint, allowed boolean")
+    if limit < 1:
+        return requests.select("event_id", "session_id", F.lit(False).alias("allowed"))
+    span = seconds * 1_000_000
+    return _granted(requests, "session_id", limit, span, False, "allowed")
 
 
 def answered_once(requests: DataFrame, key: str, seconds: int = 3600) -> DataFrame:
     """``answered``: whether a request is computed or repeats an answer still alive.
 
-    An answer lives ``seconds`` from when it was computed; repeats do not renew it.
+    An answer lives ``seconds`` from when it was computed; repeats do not renew
+    it. A gap that long ends a stretch, as in :func:`sliding_limit`. A request
+    without a key or time is computed.
     """
-    ttl = pd.Timedelta(seconds=seconds)
-
-    def keep(batches):
-        current, since = None, None
-        for batch in batches:
-            fresh = []
-            for value, at in zip(batch[key], batch["ts"]):
-                new = value != current or at - since >= ttl
-                if new:
-                    current, since = value, at
-                fresh.append(new)
-            yield batch[["event_id", key]].assign(answered=fresh)
-
-    rows = _in_order(requests.select("event_id", key, "ts"), key)
-    key_type = requests.schema[key].dataType.simpleString()
-    return rows.mapInPandas(keep, f"event_id bigint, {key} {key_type}, answered boolean")
+    span = seconds * 1_000_000
+    return _granted(requests, key, 1, span, True, "answered")
 
 
 def expiry(events: DataFrame, ttls: dict[str, int]) -> DataFrame:

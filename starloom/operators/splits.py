@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from starloom.session import materialize
+
 BIG_GROUP = 100_000
 
 
@@ -12,9 +14,11 @@ def ranked_within(df: DataFrame, group: str, order: list[Column], bucket: Column
 
     Groups above ``big_group`` rows are ranked in buckets: ``bucket`` must not
     decrease along ``order``, so a row's rank is the number of rows in earlier
-    buckets plus its rank inside its own. No task sorts a hot group whole.
+    buckets plus its rank inside its own. No task sorts a hot group whole; the
+    sizes are stored, as Spark splits a hot key of a join with a stored table
+    but not of one with a sum over the same key.
     """
-    sizes = df.groupBy(group).agg(F.count("*").alias("n"))
+    sizes = materialize(df.groupBy(group).agg(F.count("*").alias("n")), "sizes")
     sized = df.join(sizes, group).withColumn("_bucket", F.when(F.col("n") > big_group, bucket.cast("string")).otherwise(""))
     earlier = Window.partitionBy(group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
