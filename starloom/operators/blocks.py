@@ -127,6 +127,15 @@ def _present_rows(left: DataFrame, right: DataFrame, ll: Layout, rl: Layout, mir
     return _cell_rows(present(left), present(right), ll, rl, mirror)
 
 
+def _excluded_rows(exclude: DataFrame, ll: Layout, rl: Layout) -> DataFrame:
+    pairs = rl.assign(ll.assign(exclude.select("id", "other"), "id", "p"), "other", "q")
+    empty = F.array().cast("array<double>")
+    return pairs.groupBy("p", "q", "id").agg(F.collect_list("other").alias("r_ids")).select(
+        "p", "q", F.lit(0).alias("slice"), F.lit(EXCLUDED).alias("kind"),
+        F.array("id").alias("l_ids"), empty.alias("l_vals"), "r_ids", empty.alias("r_vals"),
+    )
+
+
 def _run(rows: DataFrame, kernel, schema: str, ll: Layout, rl: Layout, mirror: bool) -> DataFrame:
     """One partition per block pair and slice, rows in kernel order."""
     p, q = F.col("p"), F.col("q")
@@ -168,13 +177,7 @@ def nearest(
     if floor < 0:
         rows = rows.unionByName(_present_rows(left, left if same else right, ll, rl, mirror))
     if exclude is not None:
-        pairs = rl.assign(ll.assign(exclude.select("id", "other"), "id", "p"), "other", "q")
-        empty = F.array().cast("array<double>")
-        skip = pairs.groupBy("p", "q", "id").agg(F.collect_list("other").alias("r_ids")).select(
-            "p", "q", F.lit(0).alias("slice"), F.lit(EXCLUDED).alias("kind"),
-            F.array("id").alias("l_ids"), empty.alias("l_vals"), "r_ids", empty.alias("r_vals"),
-        )
-        rows = rows.unionByName(skip)
+        rows = rows.unionByName(_excluded_rows(exclude, ll, rl))
     l_blocks, r_blocks = ll.blocks, rl.blocks
 
     def kernel(batches):
@@ -194,6 +197,41 @@ def nearest(
     return top_n(found, ["id"], k, F.round("score", 9).desc(), F.col("other").asc())
 
 
+def best_means(
+    left: DataFrame,
+    right: DataFrame,
+    k: int,
+    exclude: DataFrame,
+    hot_rows: int = HOT_ROWS,
+    block_ids: int = BLOCK_IDS // 2,
+) -> DataFrame:
+    """``(id, other, score, support, rank)``: the ``k`` largest means of the left values, weighted by the right ones.
+
+    ``score`` is the sum of left times right values over the shared dimensions,
+    divided by the sum of the right values there; ``support`` counts them. The
+    right values are positive. Three sums are kept in a task, so its blocks are
+    smaller; only the best of each block pair leave it. ``exclude`` lists
+    ``(id, other)`` pairs to leave out, and ties go to the smaller id.
+    """
+    ll, rl = plan_layout(left, hot_rows, block_ids), plan_layout(right, hot_rows, block_ids)
+    rows = _cell_rows(left, right, ll, rl, False).unionByName(_excluded_rows(exclude, ll, rl))
+    l_blocks, r_blocks = ll.blocks, rl.blocks
+
+    def kernel(batches):
+        return _mean_kernel(batches, k, l_blocks, r_blocks)
+
+    schema = "id bigint, other bigint, num double, den double, support double, partial boolean"
+    found = _run(rows, kernel, schema, ll, rl, False)
+    if ll.hot is None and rl.hot is None:
+        found = found.drop("partial")
+    else:
+        sums = found.where("partial").groupBy("id", "other").agg(*[F.sum(c).alias(c) for c in ("num", "den", "support")])
+        sums = sums.join(exclude.select("id", "other"), ["id", "other"], "left_anti")
+        found = found.where("NOT partial").drop("partial").unionByName(sums)
+    means = found.select("id", "other", (F.col("num") / F.col("den")).alias("score"), F.col("support").cast("bigint").alias("support"))
+    return top_n(means, ["id"], k, F.round("score", 9).desc(), F.col("other").asc())
+
+
 def _request_rows(vectors: DataFrame, history: DataFrame, targets: DataFrame, layout: Layout) -> DataFrame:
     """Task rows of the products, followed by what each user asks of a block pair."""
     rows = _cell_rows(vectors, vectors, layout, layout, True)
@@ -418,10 +456,10 @@ def _partial_sums(left, right, scores, floor):
     return _batch(left[rows], right[cols], scores[rows, cols], True)
 
 
-def _best(left, right, scores, k, floor):
-    """Cells above ``floor``; with ``k`` the first k of each row, ties by id."""
+def _best_cells(right, scores, k, floor):
+    """Rows, columns and values above ``floor``; with ``k`` the first k of each row, ties by id."""
     keep = scores > floor
-    if k is not None and keep.sum() > 8 * k * len(left):
+    if k is not None and keep.sum() > 8 * k * len(scores):
         # many candidates: cut at the k-th best of each row before sorting
         rounded = np.round(scores, 9)
         keep &= rounded >= -np.partition(-rounded, k - 1, axis=1)[:, k - 1 : k]
@@ -433,9 +471,55 @@ def _best(left, right, scores, k, floor):
         rows, cols, values = rows[order], cols[order], values[order]
         best = np.arange(len(rows)) - np.searchsorted(rows, rows, side="left") < k
         rows, cols, values = rows[best], cols[best], values[best]
+    return rows, cols, values
+
+
+def _best(left, right, scores, k, floor):
+    rows, cols, values = _best_cells(right, scores, k, floor)
     return _batch(left[rows], right[cols], values, False)
 
 
+def _mean_kernel(batches, k, l_blocks, r_blocks):
+    key, sums = None, None
+    excluded: list[tuple[int, np.ndarray]] = []
+
+    def flush():
+        num, den, support = (one.scores() for one in sums)
+        if not num.size:
+            return
+        left, right = sums[0].ids()
+        hot = key[0] >= l_blocks or key[1] >= r_blocks
+        if hot:
+            rows, cols = np.nonzero(support)
+        else:
+            means = np.full(num.shape, -np.inf)
+            np.divide(num, den, out=means, where=support > 0)
+            for one, others in excluded:
+                row = sums[0].left.get(one)
+                taken = [sums[0].right[o] for o in others.tolist() if o in sums[0].right]
+                if row is not None and taken:
+                    means[row, taken] = -np.inf
+            rows, cols, _ = _best_cells(right, means, k, -np.inf)
+        values = [pa.array(np.ascontiguousarray(one[rows, cols])) for one in (num, den, support)]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(left[rows]), pa.array(right[cols]), *values, pa.array(np.full(len(rows), hot))],
+            ["id", "other", "num", "den", "support", "partial"])
+
+    for run_key, kind, (l, l_vals, r, r_vals) in _runs(batches):
+        if run_key != key:
+            if key is not None:
+                yield from flush()
+            key, sums, excluded = run_key, [_Product() for _ in range(3)], []
+        if kind == CELLS:
+            one, weight = np.ones(len(l[1])), np.ones(len(r[1]))
+            for product, (a, b) in zip(sums, ((l_vals[1], r_vals[1]), (one, r_vals[1]), (one, weight))):
+                product.add(l[0], l[1], a, r[0], r[1], b)
+        else:
+            excluded.extend((i, r[1][r[0][at] : r[0][at + 1]]) for at, i in enumerate(l[1].tolist()))
+    if key is not None:
+        yield from flush()
+
+
 def _asked(batches):
     """``(key, user, targets, rated ids, ratings, similarities)`` per request row."""
     key, block, ready = None, None, False

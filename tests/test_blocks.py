@@ -158,3 +158,26 @@ def test_dense_and_sparse_products_agree(monkeypatch, ratings):
         out.append({(a, b): s for a, row in zip(left, block.scores()) for b, s in zip(right, row)})
     assert out[0].keys() == out[1].keys() and all(math.isclose(out[0][p], out[1][p]) for p in out[0])
     assert plain
+
+
+@pytest.mark.parametrize("options", CASES)
+def test_best_means_match_brute_force(spark, ratings, dense, options):
+    near = cf.similar(ratings, "item_id", min_score=0.3)
+    rows = near.collect()
+    left = ratings.selectExpr("user_id AS id", "item_id AS dim", "rating AS val")
+    skip = ratings.selectExpr("user_id AS id", "item_id AS other")
+    found = {}
+    for r in blocks.best_means(left, near.selectExpr("id", "other AS dim", "score AS val"), 4, skip, **options).collect():
+        found.setdefault(r["id"], []).append((r["rank"], r["other"], round(r["score"], 9), r["support"]))
+    weights = np.zeros((30, 30))
+    for r in rows:
+        weights[r["id"] - 1, r["other"] - 1] = r["score"]
+    for user in range(40):
+        rated = dense[user] > 0
+        scored = []
+        for item in np.flatnonzero(~rated):
+            w = np.where(rated, weights[item], 0)
+            if w.any():
+                scored.append((-round(float(w @ dense[user] / w.sum()), 9), int(item) + 1, int((w > 0).sum())))
+        want = [(place, item, -score, n) for place, (score, item, n) in enumerate(sorted(scored)[:4], 1)]
+        assert [(a, b, pytest.approx(c), d) for a, b, c, d in want] == sorted(found.get(user + 1, []))
