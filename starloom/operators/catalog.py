@@ -137,16 +137,19 @@ def best_metadata(items: DataFrame, metadata: DataFrame) -> DataFrame:
     ``meta_id``; candidates meet on the cleaned title.
     """
     left = items.select("item_id", "year", titles.search_title(F.col("clean_title")).alias("search_title"))
-    gap = F.abs(F.col("release_year") - F.col("year"))
-    tier = F.when(gap == 0, 0).when(gap <= 1, 1).otherwise(2)
-    best = metadata.groupBy("search_title", "release_year").agg(
-        F.min(F.struct("position", "meta_id")).alias("first")
-    )
-    # a title's candidates shrink to one per release year before the join
+
+    def candidate(entry):
+        gap = F.abs(entry["release_year"] - F.col("year"))
+        tier = F.when(gap == 0, 0).when(gap <= 1, 1).otherwise(2)
+        return F.struct(tier.alias("tier"), entry["first"]["position"].alias("position"), entry["first"]["meta_id"].alias("meta_id"))
+
+    # a title's candidates shrink to one per release year, which meet an item in one row
+    years = metadata.groupBy("search_title", "release_year").agg(F.min(F.struct("position", "meta_id")).alias("first"))
+    years = years.groupBy("search_title").agg(F.collect_list(F.struct("release_year", "first")).alias("years"))
     return (
-        left.join(best, "search_title")
-        .withColumn("tier", tier)
+        left.join(years, "search_title")
+        .select("item_id", F.array_min(F.transform("years", candidate)).alias("best"))
         .groupBy("item_id")
-        .agg(F.min(F.struct("tier", "first.position", "first.meta_id")).alias("best"))
+        .agg(F.min("best").alias("best"))
         .select("item_id", "best.tier", "best.meta_id")
     )

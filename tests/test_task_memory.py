@@ -5,6 +5,7 @@ import datetime
 from pyspark.sql import functions as F
 
 from starloom.operators import catalog, profile
+from starloom.plans import registry
 from starloom.sources import tables
 
 
@@ -23,6 +24,18 @@ def test_many_lines_are_dealt_to_more_tasks(spark, tmp_path, monkeypatch):
     assert plan.count("REPARTITION_BY_NUM") == 1
 
 
+def test_metadata_groups_are_dealt_to_more_tasks(spark, tmp_path, monkeypatch):
+    lines = spark.range(600).selectExpr("id AS l_orderkey", "1 AS l_linenumber", "id % 7 AS l_partkey", "TIMESTAMP_NTZ '2020-01-01 00:00:00' AS l_shipdate")
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(7).selectExpr("id AS p_partkey", "concat('n', id % 3) AS p_name", "'t' AS p_type", "CAST(id AS INT) AS p_size").write.parquet(f"{tmp_path}/part.parquet")
+    query = registry.QUERIES["d10_best_metadata"]
+    before = sorted(query(spark, str(tmp_path)).collect())
+    monkeypatch.setattr(tables, "TASK_LINES", 20)
+    out = query(spark, str(tmp_path))
+    assert sorted(out.collect()) == before and len(before) == 7
+    assert "REPARTITION_BY_NUM" in out._jdf.queryExecution().executedPlan().toString()
+
+
 def test_an_item_meets_its_titles_years_in_one_row(spark):
     items = spark.createDataFrame([(1, "A", 1990), (2, "A", None), (3, "B", 2000), (3, "B", 1999), (4, "C", 1)], "item_id bigint, clean_title string, year int")
     meta = spark.createDataFrame(
