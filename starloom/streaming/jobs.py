@@ -10,6 +10,7 @@ end of the data, without a session, tells the stream that nothing follows.
 from __future__ import annotations
 
 import sys
+from collections import deque
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -22,6 +23,9 @@ from pyspark.sql.types import StructType
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+#: Groups of sessions, each with a state of its own.
+GROUPS = 256
+_NONE = -(1 << 63)
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -114,62 +118,68 @@ def latest_updates(spark: SparkSession, folder: str, keys: list[str]) -> DataFra
 
 
 class InOrder(StatefulProcessor):
-    """Keeps a session's rows until the watermark has passed their bucket, then answers them in order.
+    """Keeps rows until the watermark has passed their bucket, then answers them in order, session by session.
 
-    A map entry holds the packed rows of one bucket, so that a timer reads and
-    sorts one bucket at a time, not all that waits.
+    One state holds a group of sessions, as a call to the state store costs far
+    more than a row. A map entry holds the packed rows of one bucket and one
+    Arrow batch, so that a timer reads and sorts one bucket at a time, not all
+    that waits, and no entry is written twice. What the answers need of earlier
+    buckets is packed in one value of ``width`` numbers a row, the session first.
     """
 
+    width = 2
+
     def __init__(self, seconds: int):
         self.span = seconds * 1_000_000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getMapState("waiting", "bucket bigint", "packed binary")
-        self.open()
-
-    def open(self) -> None:
-        """Declares the state of the answers."""
+        self.waiting = handle.getMapState("waiting", "bucket bigint, part bigint", "packed binary")
+        self.parts = handle.getValueState("parts", "n bigint")
+        self.kept = handle.getValueState("kept", "packed binary")
 
-    def answer(self, micros: list[int], events: list[int]) -> dict[str, list]:
-        """Result columns for rows in order."""
+    def answer(self, kept: np.ndarray, rows: Iterator[tuple[int, int, int]], end: int) -> tuple[dict[str, list], list[tuple]]:
+        """Result columns for ``(session, micros, event)`` in order, and what to keep after ``end``."""
         raise NotImplementedError
 
-    def ended(self, watermark: int) -> dict[str, list] | None:
-        """Result columns for what the watermark alone decides."""
+    def ended(self, kept: np.ndarray, watermark: int) -> tuple[dict[str, list] | None, np.ndarray]:
+        """Result columns for what the watermark alone decides, and what stays."""
+        return None, kept
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        if key[0] is None:
-            return
+        known = self.parts.get()
+        number = known[0] if known is not None else 0
         for part in rows:
-            pairs = part[["micros", "event_id"]].to_numpy("<i8")
-            buckets = pairs[:, 0] // self.span
+            cells = part.loc[part["known"].astype(bool), ["session_id", "micros", "event_id"]].to_numpy("<i8")
+            buckets = cells[:, 1] // self.span
             for bucket in np.unique(buckets).tolist():
-                packed = pairs[buckets == bucket].tobytes()
-                known = (bucket,)
-                if self.waiting.containsKey(known):
-                    packed = bytes(self.waiting.getValue(known)[0]) + packed
-                else:
-                    self.handle.registerTimer((bucket + 1) * self.span // 1000)
-                self.waiting.updateValue(known, (packed,))
+                self.waiting.updateValue((bucket, number), (cells[buckets == bucket].tobytes(),))
+                self.handle.registerTimer((bucket + 1) * self.span // 1000)
+            number += 1
+        self.parts.update((number,))
         yield from ()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         watermark = timerValues.getCurrentWatermarkInMs() * 1000
-        ready = sorted(k[0] for k in self.waiting.keys() if (k[0] + 1) * self.span <= watermark)
-        for bucket in ready:
-            pairs = np.frombuffer(self.waiting.getValue((bucket,))[0], "<i8").reshape(-1, 2)
-            pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))]
-            self.waiting.removeKey((bucket,))
-            yield self.frame(key, self.answer(pairs[:, 0].tolist(), pairs[:, 1].tolist()))
-        last = self.ended(watermark)
+        ready: dict[int, list[tuple]] = {}
+        for entry in self.waiting.keys():
+            if (entry[0] + 1) * self.span <= watermark:
+                ready.setdefault(entry[0], []).append((entry[0], entry[1]))
+        packed = self.kept.get()
+        before = kept = np.frombuffer(packed[0] if packed is not None else b"", "<i8").reshape(-1, self.width)
+        for bucket in sorted(ready):
+            cells = np.concatenate([np.frombuffer(self.waiting.getValue(e)[0], "<i8").reshape(-1, 3) for e in ready[bucket]])
+            cells = cells[np.lexsort((cells[:, 2], cells[:, 1], cells[:, 0]))]
+            for entry in ready[bucket]:
+                self.waiting.removeKey(entry)
+            columns, left = self.answer(kept, zip(*cells.T.tolist()), (bucket + 1) * self.span)
+            kept = np.array(left, "<i8").reshape(-1, self.width)
+            yield pd.DataFrame(columns)
+        last, kept = self.ended(kept, watermark)
         if last:
-            yield self.frame(key, last)
-
-    @staticmethod
-    def frame(key, columns: dict[str, list]) -> pd.DataFrame:
-        first, *others = columns
-        return pd.DataFrame({first: columns[first], "session_id": key[0], **{name: columns[name] for name in others}})
+            yield pd.DataFrame(last)
+        if kept is not before:
+            self.kept.update((kept.tobytes(),))
 
     def close(self) -> None:
         pass
@@ -178,44 +188,48 @@ class InOrder(StatefulProcessor):
 class SlidingLimit(InOrder):
     """Admits up to ``limit`` requests per session and window.
 
-    State is the list of admitted times of the last window, at most ``limit``
-    long.
+    Kept are the admitted times of the last window, at most ``limit`` of a
+    session.
     """
 
     def __init__(self, limit: int, seconds: int):
         super().__init__(seconds)
         self.limit = limit
 
-    def open(self) -> None:
-        self.log = self.handle.getListState("log", "micros bigint")
-
-    def answer(self, micros, events):
-        log, allowed = [r[0] for r in self.log.get()], []
-        for at in micros:
-            log = [t for t in log if t >= at - self.span]
-            allowed.append(len(log) < self.limit)
-            if allowed[-1]:
+    def answer(self, kept, rows, end):
+        logs: dict[int, deque] = {}
+        for session, at in kept.tolist():
+            logs.setdefault(session, deque()).append(at)
+        sessions, events, allowed = [], [], []
+        for session, at, event in rows:
+            log = logs.setdefault(session, deque())
+            while log and log[0] < at - self.span:
+                log.popleft()
+            free = len(log) < self.limit
+            if free:
                 log.append(at)
-        self.log.put([(t,) for t in log])
-        return {"event_id": events, "allowed": allowed}
+            sessions.append(session)
+            events.append(event)
+            allowed.append(free)
+        left = [(session, at) for session, log in logs.items() for at in log if at >= end - self.span]
+        return {"event_id": events, "session_id": sessions, "allowed": allowed}, left
 
 
 class AnswerOnce(InOrder):
     """Marks requests that repeat an answer computed less than the time to live ago."""
 
-    def open(self) -> None:
-        self.since = self.handle.getValueState("since", "micros bigint")
-
-    def answer(self, micros, events):
-        known = self.since.get()
-        since, answered = known[0] if known is not None else None, []
-        for at in micros:
-            fresh = since is None or at - since >= self.span
+    def answer(self, kept, rows, end):
+        since = dict(kept.tolist())
+        sessions, events, answered = [], [], []
+        for session, at, event in rows:
+            fresh = session not in since or at - since[session] >= self.span
             if fresh:
-                since = at
+                since[session] = at
+            sessions.append(session)
+            events.append(event)
             answered.append(fresh)
-        self.since.update((since,))
-        return {"event_id": events, "answered": answered}
+        left = [(session, at) for session, at in since.items() if end - at < self.span]
+        return {"event_id": events, "session_id": sessions, "answered": answered}, left
 
 
 class LiveSession(InOrder):
@@ -225,35 +239,41 @@ class LiveSession(InOrder):
     live the watermark has passed ends without one, and its state is gone.
     """
 
-    def open(self) -> None:
-        self.live = self.handle.getValueState("live", "started bigint, last bigint, events bigint")
-
-    def answer(self, micros, events):
-        live, ended = self.live.get(), []
-        for at in micros:
-            if live is not None and at - live[1] > self.span:
-                ended.append(live)
-                live = None
-            live = (at, at, 1) if live is None else (live[0], at, live[2] + 1)
-        self.live.update(live)
-        self.handle.registerTimer((live[1] + self.span) // 1000 + 1)
-        return self.rows(ended)
-
-    def ended(self, watermark):
-        live = self.live.get()
-        if live is not None and live[1] + self.span < watermark:
-            self.live.clear()
-            return self.rows([live])
+    width = 4
+
+    def answer(self, kept, rows, end):
+        live, ended = {row[0]: row for row in kept.tolist()}, []
+        for session, at, _ in rows:
+            known = live.get(session)
+            if known is not None and at - known[2] > self.span:
+                ended.append(known)
+                known = None
+            live[session] = (session, at, at, 1) if known is None else (session, known[1], at, known[3] + 1)
+        return self.rows(ended), list(live.values())
+
+    def ended(self, kept, watermark):
+        over = kept[:, 2] + self.span < watermark
+        open_ = kept[~over]
+        if len(open_):
+            self.handle.registerTimer(int(open_[:, 2].min() + self.span) // 1000 + 1)
+        return (self.rows(kept[over].tolist()), open_) if over.any() else (None, kept)
 
     @staticmethod
     def rows(ended) -> dict[str, list]:
-        return {name: [row[i] for row in ended] for i, name in enumerate(("started", "ended", "events"))}
+        names = {"started": 1, "session_id": 0, "ended": 2, "events": 3}
+        return {name: [row[i] for row in ended] for name, i in names.items()}
 
 
-def with_state(events: DataFrame, processor: StatefulProcessor, schema: str, late: str) -> DataFrame:
-    """Applies a processor per session in event time; rows more than ``late`` behind the newest one are dropped."""
+def with_state(events: DataFrame, processor: StatefulProcessor, schema: str, late: str, groups: int = GROUPS) -> DataFrame:
+    """Applies a processor in event time to ``groups`` groups of sessions; rows more than ``late`` behind the newest one are dropped."""
     timed = events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late)
-    timed = timed.select("event_id", "session_id", "ts", F.unix_micros("ts").alias("micros"))
-    return timed.groupBy("session_id").transformWithStateInPandas(
+    # a column with nulls would come as floating numbers; rows without a session only move the watermark
+    number = lambda column, gap: F.coalesce(column, F.lit(gap).cast("bigint"))
+    timed = timed.select(
+        F.pmod(F.xxhash64("session_id"), F.lit(groups)).alias("group"), F.col("session_id").isNotNull().alias("known"), "ts",
+        number(F.col("session_id"), 0).alias("session_id"), number(F.unix_micros("ts"), _NONE).alias("micros"),
+        number(F.col("event_id"), _NONE).alias("event_id"),
+    )
+    return timed.groupBy("group").transformWithStateInPandas(
         statefulProcessor=processor, outputStructType=schema, outputMode="update", timeMode="EventTime"
     )

@@ -2,6 +2,7 @@
 
 from pathlib import Path
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -68,3 +69,77 @@ def test_sums_of_many_files(spark, folder):
     many = registry.QUERIES["i15_running_item_stats"](spark, folder).collect()
     key = lambda rows: sorted((r["window_start"], r["item_id"] or 0, r["rating_count"], r["rating_sum"]) for r in rows)
     assert key(one) == key(many) and sum(r["rating_count"] for r in many) == tables.sessions(spark, SMALL).count()
+
+
+class Store:
+    """A state store in memory that counts its calls."""
+
+    def __init__(self):
+        self.calls, self.data, self.timers = 0, {}, set()
+
+    def getMapState(self, *_):
+        return self
+
+    def getValueState(self, name, _):
+        return Value(self)
+
+    def registerTimer(self, at):
+        self.calls += 1
+        self.timers.add(at)
+
+    def updateValue(self, key, value):
+        self.calls += 1
+        self.data[key] = value
+
+    def containsKey(self, key):
+        self.calls += 1
+        return key in self.data
+
+    def getValue(self, key):
+        self.calls += 1
+        return self.data[key]
+
+    def removeKey(self, key):
+        self.calls += 1
+        del self.data[key]
+
+    def keys(self):
+        self.calls += 1
+        return iter(list(self.data))
+
+
+class Value:
+    def __init__(self, store):
+        self.store, self.value = store, None
+
+    def get(self):
+        self.store.calls += 1
+        return self.value
+
+    def update(self, value):
+        self.store.calls += 1
+        self.value = value
+
+
+class Watermark:
+    def __init__(self, ms):
+        self.ms = ms
+
+    def getCurrentWatermarkInMs(self):
+        return self.ms
+
+
+def test_calls_to_the_state_store_follow_buckets_not_sessions():
+    n, second = 500, 1_000_000
+    for processor, want in ((jobs.SlidingLimit(2, 10), 2 * n), (jobs.AnswerOnce(10), n), (jobs.LiveSession(10), 0)):
+        store = Store()
+        processor.init(store)
+        rows = [(s, (t * second) + s % 7, s * 10 + t, True) for s in range(n) for t in (9, 3, 5)] + [(0, second, 1, False)]
+        part = pd.DataFrame(rows, columns=["session_id", "micros", "event_id", "known"])
+        assert not list(processor.handleInputRows((0,), iter([part]), None))
+        out = pd.concat(processor.handleExpiredTimer((0,), Watermark(10_001), None))
+        flag = out.columns[-1]
+        assert store.calls < 20 and (len(out) == 3 * n and out[flag].sum() == want if want else not len(out))
+        if not want:  # quiet for longer than the time to live
+            last = pd.concat(processor.handleExpiredTimer((0,), Watermark(max(store.timers) + 1), None))
+            assert len(last) == n and set(last["events"]) == {3} and (last["ended"] - last["started"] == 6 * second).all()
