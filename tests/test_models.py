@@ -90,3 +90,16 @@ def test_held_out_errors(spark, name, model):
     assert all(r["n"] == len(error) and r["rmse"] >= r["mae"] > 0 for r in found.values())
     assert found["mean"]["rmse"] == pytest.approx(np.sqrt(np.mean(error ** 2)), abs=1e-5)
     assert found[model]["beats_mean"] == (found[model]["rmse"] < found["mean"]["rmse"])
+
+
+def test_factor_sums_are_plain_sums(spark):
+    """Per id plain column sums, which need no sort; a missing rating adds nothing, ids may be null."""
+    cells = spark.createDataFrame([(1, 1, 2.0), (1, 2, 3.0), (2, 2, None), (None, 1, 1.0)], "user_id bigint, item_id bigint, rating double")
+    table = spark.createDataFrame([(1, [1.0, 0.5]), (2, [2.0, -1.0])], "id bigint, f array<double>")
+    sums = factors._project(cells, table, "user_id", "item_id", 2)
+    assert {r["id"]: r["f"] for r in sums.collect()} == {1: [8.0, -2.0], 2: [0.0, 0.0], None: [1.0, 0.5]}
+    assert "ObjectHashAggregate" not in sums._jdf.queryExecution().executedPlan().toString()
+    assert np.allclose(factors._gram(table, 2), [[5.0, -1.5], [-1.5, 1.25]])
+    assert np.allclose(factors._gram(table.where("id > 5"), 2), 0)
+    turned = factors._times(table.repartition(4), np.array([[1.0, 2.0, 0.0], [0.0, 4.0, 1.0]]))
+    assert {r["id"]: r["f"] for r in turned.collect()} == {1: [1.0, 4.0, 0.5], 2: [2.0, 0.0, -1.0]}
