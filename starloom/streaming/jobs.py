@@ -150,7 +150,7 @@ class InOrder(StatefulProcessor):
         known = self.parts.get()
         number = known[0] if known is not None else 0
         for part in rows:
-            cells = part.loc[part["known"].astype(bool), ["session_id", "micros", "event_id"]].to_numpy("<i8")
+            cells = part[["session_id", "micros", "event_id"]].to_numpy("<i8")
             buckets = cells[:, 1] // self.span
             for bucket in np.unique(buckets).tolist():
                 self.waiting.updateValue((bucket, number), (cells[buckets == bucket].tobytes(),))
@@ -174,13 +174,19 @@ class InOrder(StatefulProcessor):
                 self.waiting.removeKey(entry)
             columns, left = self.answer(kept, zip(*cells.T.tolist()), (bucket + 1) * self.span)
             kept = np.array(left, "<i8").reshape(-1, self.width)
-            yield pd.DataFrame(columns)
+            yield self.frame(columns)
         last, kept = self.ended(kept, watermark)
         if last:
-            yield pd.DataFrame(last)
+            yield self.frame(last)
         if kept is not before:
             self.kept.update((kept.tobytes(),))
 
+    @staticmethod
+    def frame(columns: dict[str, list]) -> pd.DataFrame:
+        """Result columns as a frame; rows without a session have none there, too."""
+        frame = pd.DataFrame(columns)
+        return frame.assign(session_id=pd.array([None if s == _NONE else s for s in columns["session_id"]], "Int64"))
+
     def close(self) -> None:
         pass
 
@@ -267,12 +273,11 @@ class LiveSession(InOrder):
 def with_state(events: DataFrame, processor: StatefulProcessor, schema: str, late: str, groups: int = GROUPS) -> DataFrame:
     """Applies a processor in event time to ``groups`` groups of sessions; rows more than ``late`` behind the newest one are dropped."""
     timed = events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late)
-    # a column with nulls would come as floating numbers; rows without a session only move the watermark
-    number = lambda column, gap: F.coalesce(column, F.lit(gap).cast("bigint"))
+    # a column with nulls would come as floating numbers; rows without a session are one session
+    number = lambda column: F.coalesce(column, F.lit(_NONE))
     timed = timed.select(
-        F.pmod(F.xxhash64("session_id"), F.lit(groups)).alias("group"), F.col("session_id").isNotNull().alias("known"), "ts",
-        number(F.col("session_id"), 0).alias("session_id"), number(F.unix_micros("ts"), _NONE).alias("micros"),
-        number(F.col("event_id"), _NONE).alias("event_id"),
+        F.pmod(F.xxhash64("session_id"), F.lit(groups)).alias("group"), "ts", number(F.col("session_id")).alias("session_id"),
+        number(F.unix_micros("ts")).alias("micros"), number(F.col("event_id")).alias("event_id"),
     )
     return timed.groupBy("group").transformWithStateInPandas(
         statefulProcessor=processor, outputStructType=schema, outputMode="update", timeMode="EventTime"

@@ -134,12 +134,12 @@ def test_calls_to_the_state_store_follow_buckets_not_sessions():
     for processor, want in ((jobs.SlidingLimit(2, 10), 2 * n), (jobs.AnswerOnce(10), n), (jobs.LiveSession(10), 0)):
         store = Store()
         processor.init(store)
-        rows = [(s, (t * second) + s % 7, s * 10 + t, True) for s in range(n) for t in (9, 3, 5)] + [(0, second, 1, False)]
-        part = pd.DataFrame(rows, columns=["session_id", "micros", "event_id", "known"])
+        rows = [(s or jobs._NONE, (t * second) + s % 7, s * 10 + t) for s in range(n) for t in (9, 3, 5)]
+        part = pd.DataFrame(rows, columns=["session_id", "micros", "event_id"])
         assert not list(processor.handleInputRows((0,), iter([part]), None))
         out = pd.concat(processor.handleExpiredTimer((0,), Watermark(10_001), None))
         flag = out.columns[-1]
-        assert store.calls < 20 and (len(out) == 3 * n and out[flag].sum() == want if want else not len(out))
+        assert store.calls < 20 and (out["session_id"].isna().sum() == (3 if want else 0)) and (len(out) == 3 * n and out[flag].sum() == want if want else not len(out))
         if not want:  # quiet for longer than the time to live
             last = pd.concat(processor.handleExpiredTimer((0,), Watermark(max(store.timers) + 1), None))
             assert len(last) == n and set(last["events"]) == {3} and (last["ended"] - last["started"] == 6 * second).all()
