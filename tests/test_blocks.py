@@ -181,3 +181,18 @@ def test_best_means_match_brute_force(spark, ratings, dense, options):
                 scored.append((-round(float(w @ dense[user] / w.sum()), 9), int(item) + 1, int((w > 0).sum())))
         want = [(place, item, -score, n) for place, (score, item, n) in enumerate(sorted(scored)[:4], 1)]
         assert [(a, b, pytest.approx(c), d) for a, b, c, d in want] == sorted(found.get(user + 1, []))
+
+
+def test_best_of_a_block_copies_a_strip_at_a_time():
+    import tracemalloc
+
+    scores = np.random.default_rng(1).random((4000, 4000))
+    right = np.arange(4000)[::-1].copy()
+    tracemalloc.start()
+    rows, cols, values = blocks._best_cells(right, scores.T, 3, -np.inf)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < scores.nbytes / 2
+    assert (rows == np.repeat(np.arange(4000), 3)).all() and (values == scores.T[rows, cols]).all()
+    assert (np.sort(values.reshape(-1, 3)) == np.sort(scores.T)[:, -3:]).all()
+    assert [len(part) for part in blocks._best_cells(right[:0], np.zeros((0, 0)), 3, 0.0)] == [0, 0, 0]
