@@ -21,15 +21,20 @@ def feature_stats(ratings: DataFrame) -> DataFrame:
     """Item statistics with the median; the deviation of one rating becomes 0.
 
     ``median`` keeps one counter per distinct rating value of an item, which
-    the rating scale bounds, so a hot item costs no more than a small one.
+    the rating scale bounds, so a hot item costs no more than a small one. Users
+    are counted apart: beside them the counters would be kept per item and user.
+    ``ratings`` is read twice.
     """
-    return ratings.groupBy("item_id").agg(
+    stats = ratings.groupBy("item_id").agg(
         half_even(F.avg("rating"), 3).alias("avg_rating"),
         F.count("*").alias("num_ratings"),
         F.coalesce(half_even(F.stddev_samp("rating"), 3), F.lit(0.0)).alias("rating_std"),
         half_even(F.median("rating"), 3).alias("median_rating"),
-        F.countDistinct("user_id").alias("num_users"),
     )
+    pairs = ratings.where("user_id IS NOT NULL").select(F.col("item_id").alias("_item"), "user_id").distinct()
+    users = pairs.groupBy("_item").agg(F.count("*").alias("num_users"))
+    joined = stats.join(users, F.col("item_id").eqNullSafe(F.col("_item")), "left").drop("_item")
+    return joined.withColumn("num_users", F.coalesce("num_users", F.lit(0)))
 
 
 def approx_users(ratings: DataFrame, rsd: float = 0.02) -> DataFrame:

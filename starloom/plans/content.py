@@ -118,7 +118,8 @@ def enhanced(spark, folder):
 
 
 def features(spark, folder):
-    return materialize(content.feature_table(tables.items(spark, folder), tables.ratings(spark, folder)), "features")
+    ratings = materialize(tables.ratings(spark, folder), "ratings")
+    return materialize(content.feature_table(tables.items(spark, folder), ratings), "features")
 
 
 def enhanced_features(spark, folder):

@@ -46,3 +46,12 @@ def test_an_item_meets_its_titles_years_in_one_row(spark):
     assert got == {1: (0, 70), 2: (2, 70), 3: (1, 7)}
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "array_min" in plan
+
+
+def test_medians_are_not_kept_per_item_and_user(spark):
+    rows = [(1, 1, 2.0), (2, 1, 4.0), (2, 1, 5.0), (None, 1, 1.0), (None, 2, 3.0), (3, None, 1.0), (4, None, 2.0)]
+    stats = profile.feature_stats(spark.createDataFrame(rows, "user_id bigint, item_id bigint, rating double"))
+    got = {r["item_id"]: (r["num_ratings"], r["median_rating"], r["num_users"]) for r in stats.collect()}
+    assert got == {1: (4, 3.0, 2), 2: (1, 3.0, 0), None: (2, 1.5, 2)}
+    plan = stats._jdf.queryExecution().executedPlan().toString()
+    assert not [line for line in plan.splitlines() if "user_id" in line and ("median" in line or "percentile" in line) and "Aggregate" in line]
