@@ -121,10 +121,20 @@ def _pair_counts(docs: DataFrame) -> DataFrame:
     return docs.where("train").select("text").mapInArrow(run, "entry bigint, n bigint").groupBy("entry").agg(F.sum("n").alias("n"))
 
 
+def hashed(entries: np.ndarray, level: int) -> np.ndarray:
+    """The hash of an entry's level."""
+    return W.mix(entries + np.uint64(int(_LEVEL) * level & 0xFFFFFFFFFFFFFFFF))
+
+
+def place(h: np.ndarray, i: int) -> np.ndarray:
+    """Bit ``i`` of the three, inside its segment, from that hash."""
+    return ((h >> np.uint64(19 * i)) & np.uint64(SEGMENT_BITS - 1)).astype(np.int64)
+
+
 def places(entries: np.ndarray, level: int) -> list[np.ndarray]:
     """The three bits of an entry's level inside its segment, from one hash."""
-    h = W.mix(entries + np.uint64(int(_LEVEL) * level & 0xFFFFFFFFFFFFFFFF))
-    return [((h >> np.uint64(19 * i)) & np.uint64(SEGMENT_BITS - 1)).astype(np.int64) for i in range(3)]
+    h = hashed(entries, level)
+    return [place(h, i) for i in range(3)]
 
 
 def _segments(entries: DataFrame, segments: int) -> DataFrame:
@@ -155,12 +165,15 @@ def levels(entries: np.ndarray, bits: np.ndarray, low: int, segments: int, into:
     out = np.zeros(len(found), np.uint8)
     mine = (segment >= 0) & (segment < len(bits))
     alive = np.flatnonzero(mine)
+    flat, keys, base = bits.reshape(-1), found[alive], segment[alive] * SEGMENT_BYTES
     level = 1
     while len(alive) and level < 60:
-        hit = np.ones(len(alive), bool)
-        for place in places(found[alive], level):
-            hit &= (bits[segment[alive], place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
-        alive = alive[hit]
+        h = hashed(keys, level)
+        for i in range(3):  # what one bit rules out is not looked up again
+            at = place(h, i)
+            hit = np.flatnonzero((flat[base + (at >> 3)] >> (at & 7).astype(np.uint8)) & 1)
+            if len(hit) < len(keys):
+                alive, keys, base, h = alive[hit], keys[hit], base[hit], h[hit]
         out[alive] = level
         level += 1
     here = mine[which]
@@ -224,11 +237,13 @@ def _log_probabilities(words: np.ndarray, bounds: np.ndarray, one: np.ndarray, t
     c2 = np.minimum(middle(two), np.maximum(history, c1))
     share = np.where(history > 0, model["share"], 0.0)
     p = np.log10(share * c2 / np.maximum(np.maximum(history, c2), 1) + (1 - share) * p1)
-    at = np.minimum(np.searchsorted(model["heavy"], words), max(0, len(model["heavy"]) - 1))
-    heavy = model["heavy"][at] == words if len(model["heavy"]) else np.zeros(len(words), bool)
-    c = model["heavy_n"][at] if len(model["heavy"]) else np.zeros(len(words))
-    base = np.where(heavy, np.log10((c + 0.5) / below), 0.0)
-    known = heavy & (c > 0)
+    # each word of the chunk is looked up once
+    found, which = np.unique(words, return_inverse=True)
+    at = np.minimum(np.searchsorted(model["heavy"], found), max(0, len(model["heavy"]) - 1))
+    heavy = model["heavy"][at] == found if len(model["heavy"]) else np.zeros(len(found), bool)
+    c = model["heavy_n"][at] if len(model["heavy"]) else np.zeros(len(found))
+    base = np.where(heavy, np.log10((c + 0.5) / below), 0.0)[which]
+    known = (heavy & (c > 0))[which]
     if not len(size):
         return []
     return list(zip(size.tolist(), np.add.reduceat(p, first).tolist(), np.add.reduceat(base, first).tolist(),
@@ -246,17 +261,15 @@ def _light(docs: DataFrame, heavy: np.ndarray) -> DataFrame:
             for chunk in W.chunks(batch["text"], W.space_separated(), W.lower_ascii()):
                 words, bounds = tokens(chunk)
                 row = np.repeat(np.arange(chunk.rows), np.diff(bounds))
+                found, which = np.unique(words, return_inverse=True)
                 if len(heavy):
-                    light = heavy[np.minimum(np.searchsorted(heavy, words), len(heavy) - 1)] != words
-                    words, row = words[light], row[light]
-                order = np.lexsort((words, row))
-                words, row = words[order], row[order]
-                new = np.ones(len(words), bool)
-                new[1:] = (words[1:] != words[:-1]) | (row[1:] != row[:-1])
-                start = np.flatnonzero(new)
+                    light = (heavy[np.minimum(np.searchsorted(heavy, found), len(heavy) - 1)] != found)[which]
+                    which, row = which[light], row[light]
+                cells, times = np.unique(row * max(1, len(found)) + which, return_counts=True)
+                row, which = np.divmod(cells, max(1, len(found)))
                 yield pa.record_batch({
-                    "doc_id": pa.array(ids[chunk.first + row[start]]), "word": pa.array(words[start].view(np.int64)),
-                    "times": pa.array(np.diff(np.append(start, len(words))).astype(np.int32))})
+                    "doc_id": pa.array(ids[chunk.first + row]), "word": pa.array(found[which].view(np.int64)),
+                    "times": pa.array(times.astype(np.int32))})
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, word bigint, times int")
 
