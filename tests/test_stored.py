@@ -92,3 +92,14 @@ def test_blocks_are_read_again_and_not_shuffled(vectors):
     plan = content.content_neighbours(vectors, 5)._jdf.queryExecution().executedPlan().toString()
     # only the lists are
     assert "CartesianProduct" in plan and plan.count("Exchange") == 1
+
+
+def test_users_times_features_are_not_stored(spark, vectors, monkeypatch):
+    labels = []
+    keep = session.materialize
+    for module in (serving, stored, content, blocks):
+        if hasattr(module, "materialize"):
+            monkeypatch.setattr(module, "materialize", lambda df, label: labels.append(label) or keep(df, label))
+    ratings = spark.createDataFrame([(1, 2, 5.0), (1, 3, 1.0)], "user_id bigint, item_id bigint, rating double")
+    serving.content_lists(ratings, vectors, 3).collect()
+    assert labels and "reach" not in labels
