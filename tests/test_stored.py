@@ -103,3 +103,12 @@ def test_users_times_features_are_not_stored(spark, vectors, monkeypatch):
     ratings = spark.createDataFrame([(1, 2, 5.0), (1, 3, 1.0)], "user_id bigint, item_id bigint, rating double")
     serving.content_lists(ratings, vectors, 3).collect()
     assert labels and "reach" not in labels
+
+
+def test_missing_and_repeated_cells_of_lists(spark):
+    cells = [(1, 1, 1.0), (1, 2, 1.0), (2, 1, 2.0), (2, 3, 1.0), (2, 3, 1.0), (3, 1, 1.0), (4, 1, 1.0), (4, 2, None), (5, 2, 1.0), (6, 2, 1.0), (6, 4, 1.0)]
+    vectors = spark.createDataFrame(cells, "id bigint, feature bigint, val double")
+    ratings = spark.createDataFrame([(7, 1, 5.0), (8, 1, 5.0), (8, 2, None)], "user_id bigint, item_id bigint, rating double")
+    got = lists(serving.content_lists(ratings, vectors, 9).collect(), "user_id", "item_id")
+    # products with a missing value are left out: item 4 is not listed, item 5 reaches nothing; a user with a missing sum has no list
+    assert set(got) == {7} and set(got[7]) == {2, 3, 6}
