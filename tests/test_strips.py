@@ -2,9 +2,10 @@
 
 import random
 
+import numpy as np
 import pytest
 
-from starloom.operators import blocks, collaborative as cf, strips
+from starloom.operators import blocks, collaborative as cf, serving, strips
 
 SCHEMA = "user_id bigint, item_id bigint, rating double"
 
@@ -40,3 +41,49 @@ def test_means_keep_missing_values_and_nameless_rows(spark):
     assert got == {(9, 1): pytest.approx(8 / 3), (9, 4): None, (8, 1): None, (8, 4): None, (None, 1): 2.0}
     best = {(r["user_id"], r["item_id"]) for r in cf.item_candidates(near, ratings, n=1).collect()}
     assert best == {(9, 1), (8, 1), (None, 1)}
+
+
+@pytest.mark.parametrize("chunk, buffer", [(1024, 4_000_000), (3, 50)])
+def test_pairs_above_are_those_of_unit_vectors(spark, monkeypatch, chunk, buffer):
+    monkeypatch.setattr(strips, "CHUNK", chunk)
+    monkeypatch.setattr(strips, "PRODUCTS", buffer)
+    odd = [(1, -5, None), (None, -5, 3.0), (2, None, 3.0), (None, None, 1.0), (3, 77, 0.0), (4, 78, float("nan")), (5, 79, float("inf")),
+           (4, -5, 2.5), (4, -5, 2.5), (6, -2**62, 4.0), (6, 2**62, 1e-3), (7, -2**62, 1e3), (7, 2**62, -2.0)]
+    ratings = _ratings(spark).unionByName(spark.createDataFrame(odd, SCHEMA))
+    for of in ("item_id", "user_id"):
+        got = {(r["id"], r["other"]): r["score"] for r in cf.similar(ratings, of, 0.3).collect()}
+        want = {(r["id"], r["other"]): r["score"] for r in strips.nearest(cf.vectors(ratings, of), min_score=0.3).collect()}
+        assert got == pytest.approx(want) and got
+
+
+def test_a_strip_gets_its_pairs_packed_and_once():
+    rnd = np.random.default_rng(5)
+    users, rated, count = 2000, 40, 200
+    off = np.arange(users + 1) * rated
+    ids = np.concatenate([rnd.choice(1_000_000, rated, replace=False) for _ in range(users)])
+    cells = [(off, ids), (off, rnd.integers(1, 6, len(ids)).astype(float)), (off, rnd.integers(60, 76, len(ids)).astype(np.int16))]
+    size, products = 0, 0
+    for batch in strips._dealt(cells * 2, count):
+        size += sum(len(part) for row in batch.column(2).to_pylist() for part in row)
+        products += sum(sizes[2] for sizes in batch.column(1).to_pylist())
+    # half of the pairs, 16 bytes each and more before
+    assert products < 0.5 * users * rated * rated and size < 6 * products
+
+
+def test_rated_items_are_left_out_without_a_row_of_their_own(spark):
+    ratings = _ratings(spark)
+    lists = serving.collaborative_lists(ratings, 5)
+    assert "Union" not in lists._jdf.queryExecution().optimizedPlan().toString()
+    rated = {(r["user_id"], r["item_id"]) for r in ratings.collect()}
+    near = {(r["id"], r["other"]): r["score"] for r in cf.similar(ratings, "item_id", 0.1).collect()}
+    want = {}
+    for user, item, rating in ((r["user_id"], r["item_id"], r["rating"]) for r in ratings.collect()):
+        for (one, other), score in near.items():
+            if other == item and (user, one) not in rated:
+                want.setdefault(user, {}).setdefault(one, []).append((score, rating))
+    got = {(r["user_id"], r["item_id"]): (r["predicted"], r["confidence"]) for r in lists.collect()}
+    best = {}
+    for user, found in want.items():
+        scored = sorted((-round(sum(s * r for s, r in v) / sum(s for s, _ in v), 9), one, min(0.9, len(v) / 10)) for one, v in found.items())
+        best.update({(user, one): (pytest.approx(-score), support) for score, one, support in scored[:5]})
+    assert got == best and got
