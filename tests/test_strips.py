@@ -63,14 +63,17 @@ def test_a_strip_gets_its_pairs_packed_and_once():
     ids = np.concatenate([rnd.choice(1_000_000, rated, replace=False) for _ in range(users)])
     cells = [(off, ids), (off, rnd.integers(1, 6, len(ids)).astype(float)), (off, rnd.integers(60, 76, len(ids)).astype(np.int16))]
     size, products = 0, 0
-    for batch in strips._dealt(cells * 2, count):
+    for batch in strips._dealt(np.arange(users), cells * 2, strips.PAIRS, count):
         size += sum(len(part) for row in batch.column(2).to_pylist() for part in row)
         products += sum(sizes[2] for sizes in batch.column(1).to_pylist())
     # half of the pairs, 16 bytes each and more before
     assert products < 0.5 * users * rated * rated and size < 6 * products
 
 
-def test_rated_items_are_left_out_without_a_row_of_their_own(spark):
+@pytest.mark.parametrize("chunk, buffer", [(1024, 4_000_000), (3, 50)])
+def test_rated_items_are_left_out_without_a_row_of_their_own(spark, monkeypatch, chunk, buffer):
+    monkeypatch.setattr(strips, "CHUNK", chunk)
+    monkeypatch.setattr(strips, "PRODUCTS", buffer)
     ratings = _ratings(spark)
     lists = serving.collaborative_lists(ratings, 5)
     assert "Union" not in lists._jdf.queryExecution().optimizedPlan().toString()
