@@ -90,3 +90,47 @@ def test_rated_items_are_left_out_without_a_row_of_their_own(spark, monkeypatch,
         scored = sorted((-round(sum(s * r for s, r in v) / sum(s for s, _ in v), 9), one, min(0.9, len(v) / 10)) for one, v in found.items())
         best.update({(user, one): (pytest.approx(-score), support) for score, one, support in scored[:5]})
     assert got == best and got
+
+
+@pytest.mark.parametrize("shift", [7, 0])
+def test_rows_are_read_by_the_strips_and_not_shuffled_to_them(spark, monkeypatch, shift):
+    # ids that are their own places, and others; many strips, a few to a task, and stored rows of a few cells
+    monkeypatch.setattr(strips, "STORED", 40)
+    monkeypatch.setattr(strips, "_count", lambda df, total: 40)
+    rnd = random.Random(4)
+    rows = [(u - shift, i - shift, float(rnd.randint(1, 5))) for u in range(40) for i in range(30) if rnd.random() < 0.3]
+    ratings = spark.createDataFrame(rows, SCHEMA)
+    units = cf.vectors(ratings, "item_id")
+    near = strips.nearest(units, k=4)
+    assert "Exchange" not in near._jdf.queryExecution().executedPlan().toString()
+    rounded = lambda df: sorted((r["id"], r["other"], round(r["score"], 9), r["rank"]) for r in df.collect())
+    assert rounded(near) == rounded(blocks.nearest(units, k=4))
+    for candidates, of in ((cf.item_candidates, "item_id"), (cf.user_candidates, "user_id")):
+        near = cf.neighbours(ratings, of, 4)
+        sums, taken = {}, {(u, i) for u, i, _ in rows}
+        for r in near.collect():
+            for user, item, rating in rows:
+                if r["other"] == (item if of == "item_id" else user):
+                    key = (user, r["id"]) if of == "item_id" else (r["id"], item)
+                    if key not in taken:
+                        sums.setdefault(key, []).append((r["score"], rating))
+        want = {key: sum(s * x for s, x in found) / sum(s for s, _ in found) for key, found in sums.items()}
+        assert {(r["user_id"], r["item_id"]): r["predicted"] for r in candidates(near, ratings).collect()} == pytest.approx(want)
+
+
+def test_a_rated_item_that_no_other_is_near_to_is_left_out(spark):
+    near = spark.createDataFrame([(1, 2, 0.5), (3, 2, 0.5)], "id bigint, other bigint, score double")
+    ratings = spark.createDataFrame([(9, 1, 4.0), (9, 2, 3.0), (8, 2, 2.0)], SCHEMA)
+    got = {(r["user_id"], r["item_id"]): r["predicted"] for r in cf.item_candidates(near, ratings).collect()}
+    assert got == {(9, 3): 3.0, (8, 1): 2.0, (8, 3): 2.0}
+
+
+def test_the_best_of_a_run_keep_their_ties():
+    rnd = np.random.default_rng(2)
+    left = np.repeat([5, -3, 2**40], [300, 2, 50])
+    for score in (rnd.integers(1, 4, len(left)) / 3, rnd.random(len(left)) * 1e12, np.where(rnd.random(len(left)) < 0.5, -np.inf, 2.5), np.full(len(left), np.nan)):
+        kept = set(strips._first(left, score, 7).tolist())
+        for one in np.unique(left):
+            at = np.flatnonzero(left == one)
+            best = sorted(-np.round(score[at], 9))[:7]
+            assert all(i in kept for i in at if -np.round(score[i], 9) <= best[-1])
