@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starloom.functions.scores import clip
-from starloom.operators import collaborative as cf, factors, gaps, products
+from starloom.operators import collaborative as cf, factors, gaps, products, serving
 
 RATINGS = "user_id bigint, item_id bigint, rating double"
 
@@ -137,3 +137,30 @@ def test_products_skip_blocks_below_the_floor(spark):
     assert all(got[pair] == want[pair] for pair in got)
     assert {(i, j) for i, scored in best.items() for _, j in sorted(scored)[:3]} <= set(got)
     assert products.largest_products(left, right.where("id = 99"), 1.0).count() == 0
+
+
+def _spread_plainly(rows, genres):
+    """One user's ``(item, predicted, confidence, rank)`` rows in the order of the genre rule."""
+    rows = sorted(rows, key=lambda r: r[3])
+    long = [(round(p * c, 9), item, genre) for item, p, c, _ in rows for genre in genres.get(item) or () if genre]
+    names = list(dict.fromkeys(genre for *_, genre in long))
+    if len(rows) <= 5 or not names:
+        return [(r[0], r[3]) for r in rows]
+    picked = []
+    for name in names:
+        fresh = [item for _, item, genre in sorted(long, key=lambda x: -x[0]) if genre == name and item not in picked]
+        picked += fresh[: max(2, len(rows) // len(names))]
+    by_worth = [r[0] for r in sorted(rows, key=lambda r: -round(r[1] * r[2], 9))]
+    return list(zip([*picked, *(i for i in by_worth if i not in picked)], range(1, 1000)))
+
+
+def test_lists_are_spread_without_a_frame_per_user(spark):
+    rnd = random.Random(8)
+    genres = {i: rnd.choice([None, [], [None, "a"], rnd.sample("abcdef", 3), ["b"]]) for i in range(60)}
+    rows = [(u, i, float(rnd.randint(1, 5)), rnd.choice([0.3, 0.6]), rank) for u in range(-3, 30) for rank, i in enumerate(rnd.sample(range(60), rnd.randint(1, 25)), 1)]
+    lists = spark.createDataFrame(rows, "user_id bigint, item_id bigint, predicted double, confidence double, rank int")
+    items = spark.createDataFrame(list(genres.items()), "item_id bigint, genres array<string>")
+    out = serving.diversify(lists, items)
+    assert "FlatMapGroupsInPandas" not in out._jdf.queryExecution().executedPlan().toString()
+    want = {(u, item): rank for u in range(-3, 30) for item, rank in _spread_plainly([r[1:] for r in rows if r[0] == u], genres)}
+    assert {(r["user_id"], r["item_id"]): r["rank"] for r in out.collect()} == want
