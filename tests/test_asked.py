@@ -27,6 +27,23 @@ def test_scores_are_those_of_the_blocks(spark, monkeypatch, limits, positive):
     assert _table(asked.weighted_scores(units, ratings, targets, positive)) == want and want
 
 
+@pytest.mark.parametrize("limits", [(1000, 5000, 2_000_000), (8, 5000, 10), (1000, 9, 10), (8, 9, 2_000_000)])
+def test_supporters_are_those_of_the_blocks(spark, monkeypatch, limits):
+    for name, value in zip(("USER_ROWS", "VECTOR_CELLS", "DENSE"), limits):
+        monkeypatch.setattr(asked, name, value)
+    rnd = random.Random(6)
+    rows = [(u - 9, 7 * i - 5, float(rnd.randint(1, 5))) for u in range(40) for i in range(25) if rnd.random() < 0.2 or i == u % 3]
+    ratings = spark.createDataFrame(rows, "user_id bigint, item_id bigint, rating double")
+    targets = ratings.sample(0.6, 1).unionByName(spark.createDataFrame([(99, 2, 1.0), (0, 10**9, 1.0), (None, 2, 1.0)], ratings.schema))
+    units = cf.vectors(ratings, "item_id")
+    table = lambda df: sorted((r["user_id"], r["item_id"], r["rank"], r["other"], round(r["score"], 9)) for r in df.collect())
+    want = table(blocks.supporters(units, ratings, targets, 2, 0.2))
+    found = asked.supporters(units, ratings, targets, 2, 0.2)
+    assert table(found) == want and want
+    if limits == (1000, 5000, 2_000_000):  # no pairs of blocks
+        assert "l_ids" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_predictions_meet_no_blocks(spark):
     ratings = spark.createDataFrame([(1, 1, 5.0), (1, 2, 3.0), (2, 1, 4.0), (2, 2, 2.0)], "user_id bigint, item_id bigint, rating double")
     out = cf.predict_by_all_items(ratings, ratings)
